@@ -195,7 +195,7 @@ def model_forecast(
     classifier: Transformer,
     horizon: int = HORIZON,
     features: FeatureSet = PRODUCTION,
-    checkpoint_every: int = 12,
+    checkpoint_every: int = 6,
     precip_feedback: str = "probability",
 ) -> DataFrame:
     """Roll fitted models forward, one narrow step per hour for all series at once.
@@ -209,27 +209,25 @@ def model_forecast(
     if precip_feedback not in ("probability", "last"):
         raise ValueError(f"unknown precip_feedback {precip_feedback!r}")
     shared_folder(state.sparkSession)
-    base = state.columns
+    base = [c for c in state.columns if c not in STATE]
     out = ("predicted_temperature", "rain_probability")
-    empty = F.array().cast("array<double>")
-    rolling = state.withColumns({name: empty for name in out})
+    rolling = state.withColumns({name: F.array().cast("array<double>") for name in out})
+    # the expressions are the same at every hour; the hour itself is counted by the predictions
+    now = plus_hours(F.col("last_ts"), F.size(out[0]) + 1)
+    known = next_hour_features({m: F.col(m) for m in STATE}, features.trails, now)
+    warm = F.col("temperature_prediction")
+    wet = vector_to_array("rain_probability_vector")[1]
+    added = {m: lag_of(F.col(m), 1) for m in STATE} | {"temperature": warm}
+    if precip_feedback == "probability":
+        added["precipitation"] = wet
+    kept = [
+        *[F.col(c) for c in base],
+        *[F.concat(F.col(m), F.array(added[m])).alias(m) for m in STATE],
+        *[F.concat(F.col(n), F.array(v)).alias(n) for n, v in zip(out, (warm, wet))],
+    ]
     for h in range(1, horizon + 1):
-        now = plus_hours(F.col("last_ts"), F.lit(h))
-        parts = {m: F.col(m) for m in STATE}
-        stepped = rolling.withColumns(next_hour_features(parts, features.trails, now))
-        stepped = classifier.transform(regressor.transform(stepped))
-        warm = F.col("temperature_prediction")
-        wet = vector_to_array("rain_probability_vector")[1]
-        added = {m: lag_of(F.col(m), 1) for m in STATE}
-        added["temperature"] = warm
-        if precip_feedback == "probability":
-            added["precipitation"] = wet
-        rolling = stepped.select(
-            *[c for c in base if c not in STATE],
-            *[F.concat(F.col(m), F.array(added[m])).alias(m) for m in STATE],
-            F.concat(F.col(out[0]), F.array(warm)).alias(out[0]),
-            F.concat(F.col(out[1]), F.array(wet)).alias(out[1]),
-        )
+        seen = rolling.withColumns(known)
+        rolling = classifier.transform(regressor.transform(seen)).select(*kept)
         if h % checkpoint_every == 0 or h == horizon:
             rolling = rolling.checkpoint()
     return rolling

@@ -240,4 +240,4 @@ def model_recursive_forecast(spark: SparkSession, folder: str) -> DataFrame:
         latest(spark, folder), cities(spark, folder), countries(spark, folder), AS_OF
     )
     trained = training.train(mart, AS_OF, iterations=3)
-    return serving.forecast(mart, trained, AS_OF).rows
+    return serving.forecast(mart, trained, AS_OF, history_days=12).rows

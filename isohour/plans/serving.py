@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from isohour.operators import forecast as fc
 from isohour.plans.training import Trained
+from isohour.session import materialise
 
 
 @dataclass(frozen=True)
@@ -16,9 +17,11 @@ class Forecast:
     skipped: DataFrame
 
 
-def serving_state(mart_hourly: DataFrame, as_of: str) -> DataFrame:
+def serving_state(
+    mart_hourly: DataFrame, as_of: str, history_days: int = fc.HISTORY_DAYS
+) -> DataFrame:
     """The buffers of the last days, one row per city."""
-    history = fc.recent_history(mart_hourly, as_of, ts="observation_timestamp").where(
+    history = fc.recent_history(mart_hourly, as_of, history_days, "observation_timestamp").where(
         F.col("city").isNotNull()
     )
     return fc.buffers(
@@ -34,10 +37,17 @@ def forecast(
     trained: Trained,
     as_of: str,
     horizon: int = fc.HORIZON,
-    checkpoint_every: int = 12,
+    history_days: int = fc.HISTORY_DAYS,
+    needed_rows: int = fc.NEEDED_ROWS,
+    checkpoint_every: int = 6,
 ) -> Forecast:
-    """Forecast every city with enough history; the others are listed in ``skipped``."""
-    ready, short = fc.split_by_history(serving_state(mart_hourly, as_of))
+    """Forecast every city with ``needed_rows`` of history; the others are listed in ``skipped``.
+
+    With fewer needed rows the trees see missing long lags, which they send down one branch.
+    ``history_days`` above the default makes up for gaps.
+    """
+    state = materialise(serving_state(mart_hourly, as_of, history_days), "state")
+    ready, short = fc.split_by_history(state, needed=needed_rows)
     rolled = fc.model_forecast(
         ready, trained.regressor, trained.classifier, horizon, checkpoint_every=checkpoint_every
     )
