@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 
@@ -18,31 +18,43 @@ def rained(precipitation: Column) -> Column:
     return F.when(precipitation > 0, 1).otherwise(0)
 
 
-def total(value: Column, scale: int | None = None, over: WindowSpec | None = None) -> Column:
+def total(value: Column, scale: int | None = None) -> Column:
     """Sum, NULL on no values.
 
     With ``scale`` the values are added as decimals of that many digits. Such a sum is the same
     whatever the partitioning or the order tasks finish in; use it for measures recorded with a
     known number of digits. Without ``scale`` it is the plain sum of doubles.
     """
-    summed = F.sum(value if scale is None else value.cast(f"decimal(18,{scale})"))
-    if over is not None:
-        summed = summed.over(over)
-    return summed if scale is None else summed.cast("double")
+    if scale is None:
+        return F.sum(value)
+    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
 
 
-def mean(value: Column, scale: int | None = None, over: WindowSpec | None = None) -> Column:
+def mean(value: Column, scale: int | None = None) -> Column:
     """Mean of the non-NULL values; ``scale`` as in :func:`total`."""
     if scale is None:
-        return F.avg(value) if over is None else F.avg(value).over(over)
-    counted = F.count(value)
-    if over is not None:
-        counted = counted.over(over)
-    return F.try_divide(total(value, scale, over), counted)
+        return F.avg(value)
+    return F.try_divide(total(value, scale), F.count(value))
+
 
+def trailing_mean(
+    value: Column, rows: int, window: WindowSpec, scale: int | None = None
+) -> Column:
+    """Mean of the non-NULL values in the ``rows`` rows before the current one.
 
-def rows_before(window: WindowSpec, rows: int) -> WindowSpec:
-    """The frame of the ``rows`` rows before the current one."""
-    return window.rowsBetween(-rows, -1)
+    Without ``scale`` each frame is averaged afresh. With it the values are counted in whole
+    units of the last digit; a difference of two running sums is then exact, and its cost does
+    not grow with ``rows``.
+    """
+    if scale is None:
+        return F.avg(value).over(window.rowsBetween(-rows, -1))
 
+    def up_to(end: int, of: Column) -> Column:
+        summed = F.sum(of).over(window.rowsBetween(Window.unboundedPreceding, end))
+        return F.coalesce(summed, F.lit(0))
 
+    units = (value.cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("bigint")
+    present = value.isNotNull().cast("bigint")
+    added = up_to(-1, units) - up_to(-1 - rows, units)
+    counted = up_to(-1, present) - up_to(-1 - rows, present)
+    return F.try_divide(added / F.lit(10**scale), counted)

@@ -8,9 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import WindowSpec
 
-from isohour.functions.measures import mean, rained, rows_before
+from isohour.functions.measures import rained, trailing_mean
 from isohour.functions.times import calendar, month_key
-from isohour.operators.running import over_trailing_rows, over_whole_series
+from isohour.operators.running import longest_series, over_trailing_rows, over_whole_series
+
+# A series of up to this many rows (57 years of hours) is windowed in one task.
+WHOLE_SERIES_ROWS = 500_000
+CHUNK_ROWS = 8192
 
 
 @dataclass(frozen=True)
@@ -68,7 +72,7 @@ def mean_columns(
 ) -> dict[str, Column]:
     """Means of the n rows before the current one; fewer rows and NULLs are allowed."""
     return {
-        f"{t.prefix}roll_{n}h": mean(F.col(t.measure), scale, rows_before(window, n))
+        f"{t.prefix}roll_{n}h": trailing_mean(F.col(t.measure), n, window, scale)
         for t in trails
         for n in t.means
     }
@@ -83,11 +87,14 @@ def with_trails(
     scale: int | None = None,
     lags: bool = True,
     means: bool = True,
-    chunk_rows: int | None = 8192,
+    chunk_rows: int | None = None,
+    whole_series_rows: int = WHOLE_SERIES_ROWS,
 ) -> DataFrame:
     """Add lag and mean columns. ``df`` holds one row per (series, ts).
 
-    ``chunk_rows`` cuts series so that a long one spreads over tasks; None uses one plain window.
+    One plain window takes a single shuffle but puts a series into one task, so the longest
+    series is counted first. Beyond ``whole_series_rows`` series are cut into chunks, which
+    gives the same rows with one more shuffle. ``chunk_rows`` sets the cut and skips the count.
     """
 
     def columns(window: WindowSpec) -> Mapping[str, Column]:
@@ -99,7 +106,9 @@ def with_trails(
         return made
 
     if chunk_rows is None:
-        return over_whole_series(df, columns, ts, [series])
+        if longest_series(df, [series]) <= whole_series_rows:
+            return over_whole_series(df, columns, ts, [series])
+        chunk_rows = CHUNK_ROWS
     reach = max(
         [n for t in trails for n in t.lags if lags] + [n for t in trails for n in t.means if means]
     )
@@ -156,7 +165,7 @@ def feature_table(
     scale: int | None = None,
     mode: str = "rows",
     complete_only: bool = True,
-    chunk_rows: int | None = 8192,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """All features of a set next to the observation, with the rain label.
 

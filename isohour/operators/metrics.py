@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from isohour.functions.measures import mean
-from isohour.operators.running import running_totals
+from isohour.operators.running import in_ranges, running_totals
 
 
 def regression_metrics(
@@ -66,13 +66,12 @@ def classification_metrics(
     score: str,
     by: Sequence[str] = (),
     probability: Column | None = None,
-    cuts: int = 100,
 ) -> DataFrame:
     """Rows, base rate, AUC and log loss of a 0/1 label per group.
 
     AUC is the share of (positive, negative) pairs the score ranks right, ties counting half. Rows
-    are first counted per distinct score; the running counts go by score ranges between ``cuts``
-    quantiles, so no task sees all scores.
+    are first counted per distinct score. The scores are then range-partitioned, and the running
+    counts go range by range, so no task sees all scores.
     """
     p = F.col(score) if probability is None else probability
     clipped = F.greatest(F.least(p, F.lit(1 - 1e-15)), F.lit(1e-15))
@@ -85,14 +84,8 @@ def classification_metrics(
             F.sum((1 - F.col(label)).cast("bigint")).alias("neg"),
         )
     )
-    shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    limits = per_score.agg(F.percentile_approx("_score", shares, F.lit(10000))).scalar()
-    bucketed = per_score.withColumn("_limits", limits).withColumn(
-        "_range", F.size(F.filter("_limits", lambda x: x <= F.col("_score")))
-    )
-    placed = running_totals(
-        bucketed.drop("_limits"), {"neg_below": F.col("neg")}, ["_score"], F.col("_range"), by
-    )
+    ranged = in_ranges(per_score, "_score")
+    placed = running_totals(ranged, {"neg_below": F.col("neg")}, ["_score"], F.col("_range"), by)
     loss = -(F.col("pos") * F.ln("_p") + F.col("neg") * F.ln(1 - F.col("_p")))
     n = F.sum(F.col("pos") + F.col("neg"))
     # twice the number of rightly ranked pairs is an integer; too wide for a bigint at scale

@@ -11,6 +11,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
+from isohour.session import materialise
+
 
 def running_totals(
     df: DataFrame,
@@ -54,6 +56,16 @@ def running_totals(
     ).drop("_bucket", *helpers)
 
 
+def in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """Add ``_range``: the number of a range of ``order``, all of about the same size.
+
+    For orders without a natural bucket such as a month. The ranges come from a sample, so the
+    result is written to the shared folder: every later pass must see the same ranges.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    return materialise(ranged, "ranges")
+
+
 def over_trailing_rows(
     df: DataFrame,
     columns: Callable[[WindowSpec], Mapping[str, Column]],
@@ -73,7 +85,7 @@ def over_trailing_rows(
     if chunk_rows < reach:
         raise ValueError("chunk_rows must be at least reach")
     placed = running_totals(df, {"_pos": F.lit(1)}, [order], bucket, by)
-    chunk = F.floor(F.col("_pos") / F.lit(chunk_rows))
+    chunk = F.expr(f"_pos div {chunk_rows}")
     in_tail = F.col("_pos") % chunk_rows >= chunk_rows - reach
     copied = placed.withColumn(
         "_chunk", F.explode(F.when(in_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))
@@ -81,7 +93,7 @@ def over_trailing_rows(
     window = Window.partitionBy(*by, "_chunk").orderBy("_pos")
     return (
         copied.withColumns(dict(columns(window)))
-        .where(F.floor(F.col("_pos") / F.lit(chunk_rows)) == F.col("_chunk"))
+        .where(chunk == F.col("_chunk"))
         .drop("_pos", "_chunk")
     )
 
@@ -92,15 +104,18 @@ def over_whole_series(
     order: str,
     by: Sequence[str],
 ) -> DataFrame:
-    """The same columns by one plain window: one shuffle, one task per series.
-
-    For data known to consist of many short series.
-    """
+    """The same columns by one plain window: one shuffle, one task per series."""
     window = Window.partitionBy(*by).orderBy(order)
     known = df.where(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in by)))
     return known.withColumns(dict(columns(window)))
 
 
+def longest_series(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows of the longest series: one number, counted with partial aggregation."""
+    counts = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    return counts.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+
+
 def tail_rows(
     df: DataFrame, rows: int, order: str, bucket: Column, by: Sequence[str]
 ) -> DataFrame:

@@ -67,14 +67,16 @@ def upsert(
     *,
     as_of: str | Column | None = None,
     full_refresh: bool = False,
+    keep_copy: bool = True,
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = replace_keys,
 ) -> list[int]:
     """Apply a batch to the Parquet table at ``path``; returns the months written.
 
     Only the months the batch touches are read and rewritten. The batch is written to the shared
-    folder first, since it is read several times and may itself be derived from the target. The
-    merged months are written there as well before the table is changed: should the run die while
-    partitions are being replaced, running it again gives the same table.
+    folder first, since it is read several times and may itself be derived from the target. With
+    ``keep_copy`` the merged months are written there too before the table is changed: should the
+    run die while folders are being swapped, the months can be restored with
+    ``tables.write_months(copy, path, ts, keys, "months")``. Without it that write is saved.
 
     With ``as_of`` the audit column ``ingestion_ts`` is carried over from the target.
     """
@@ -91,6 +93,8 @@ def upsert(
     touched = target.where(F.col("ym").isin(months)).drop("ym")
     if as_of is not None:
         batch = carry_first_seen(batch, touched, keys, as_of)
-    merged = materialise(merge(touched, batch.select(*touched.columns), keys), "merged")
+    merged = merge(touched, batch.select(*touched.columns), keys)
+    if keep_copy:
+        merged = materialise(merged, "merged")
     tables.write_months(merged, path, ts, keys, mode="months")
     return months

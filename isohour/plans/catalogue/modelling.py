@@ -52,9 +52,13 @@ def _complete(feature_set: ft.FeatureSet) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in feature_set.trailing())
 
 
-def _with_coordinates(spark: SparkSession, folder: str) -> DataFrame:
+def _features_of(
+    spark: SparkSession, folder: str, feature_set: ft.FeatureSet, scale: int | None = DIGITS
+) -> DataFrame:
+    """Coordinates are joined last, so that they do not travel through the window's shuffle."""
+    table = ft.feature_table(latest(spark, folder), feature_set, scale=scale)
     places = cities(spark, folder).select("city_id", "latitude", "longitude")
-    return latest(spark, folder).join(places, "city_id", "left")
+    return table.join(places, "city_id", "left")
 
 
 @register(with_tables(f' SELECT city_id, "timestamp", {_lags(TRAILS)} FROM latest'))
@@ -105,7 +109,7 @@ FROM trailed t LEFT JOIN city USING (city_id) WHERE {_complete(ft.PRODUCTION)}""
 )
 def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     """The 25 production features with both targets."""
-    table = ft.feature_table(_with_coordinates(spark, folder), ft.PRODUCTION, scale=DIGITS)
+    table = _features_of(spark, folder, ft.PRODUCTION)
     return table.select("timestamp", "temperature", "rained", *ft.PRODUCTION.columns())
 
 
@@ -118,7 +122,7 @@ FROM trailed t LEFT JOIN city USING (city_id) WHERE {_complete(ft.EXPERIMENT)}""
 )
 def feature_table_experiment(spark: SparkSession, folder: str) -> DataFrame:
     """The 23 experiment features."""
-    table = ft.feature_table(_with_coordinates(spark, folder), ft.EXPERIMENT, scale=DIGITS)
+    table = _features_of(spark, folder, ft.EXPERIMENT)
     return table.select("timestamp", "temperature", *ft.EXPERIMENT.columns())
 
 
@@ -311,7 +315,7 @@ def cross_validated_linear(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def cross_validated_models(spark: SparkSession, folder: str) -> DataFrame:
     """All candidates on the experiment features; tree ensembles kept small."""
-    table = ft.feature_table(_with_coordinates(spark, folder), ft.EXPERIMENT)
+    table = _features_of(spark, folder, ft.EXPERIMENT, None)
     result = experiment.cross_validate(
         table, ft.EXPERIMENT.columns(), models=experiment.candidates(iterations=3)
     ).results()

@@ -60,7 +60,7 @@ def training_rows(
     """Observations of a closed time range with coordinates and complete features."""
     rows = since(observations, "timestamp", instant(start), instant(end))
     places = city.select("city_id", "city_name", "latitude", "longitude")
-    return feature_table(rows.join(places, "city_id", "left"), features)
+    return feature_table(rows, features).join(places, "city_id", "left")
 
 
 def assembled(
@@ -96,7 +96,7 @@ def cross_validate(
     target: str = "temperature",
     models: Sequence[Candidate] | None = None,
     folds: int = 5,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> Experiment:
     """Fit every model on every fold; only the metrics reach the driver.
 

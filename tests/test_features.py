@@ -43,12 +43,16 @@ def by_hand(rows):
     return pd.concat(parts)
 
 
-@pytest.mark.parametrize("chunk_rows", [None, 168, 200, 8192])
-def test_trails_equal_pandas_for_any_chunking(spark, chunk_rows):
+@pytest.mark.parametrize(
+    "chunk_rows, scale", [(None, None), (168, None), (168, 1), (200, 1), (8192, None), (None, 1)]
+)
+def test_trails_equal_pandas_for_any_chunking(spark, chunk_rows, scale):
     import pandas as pd
 
     df = gappy(spark)
-    made = ft.with_trails(df, ft.PRODUCTION.trails, chunk_rows=chunk_rows).toPandas()
+    made = ft.with_trails(
+        df, ft.PRODUCTION.trails, chunk_rows=chunk_rows, scale=scale
+    ).toPandas()
     hand = by_hand(df.toPandas())
     order = ["city_id", "timestamp"]
     columns = order + ft.PRODUCTION.trailing()
@@ -74,6 +78,16 @@ def test_a_long_series_is_spread_over_chunks(spark):
     assert "_chunk" in text and window_rows.count() == df.count()
 
 
+def test_series_beyond_the_limit_are_cut(spark):
+    df = gappy(spark, cities=2)
+    whole, cut = (
+        ft.with_trails(df, (ft.HUMIDITY,), whole_series_rows=n) for n in (10_000, 100)
+    )
+    assert "_chunk" in cut._jdf.queryExecution().toString()
+    assert "_chunk" not in whole._jdf.queryExecution().toString()
+    assert rows_of(whole, *whole.columns) == rows_of(cut, *whole.columns)
+
+
 def test_rows_of_an_unknown_series_are_dropped(spark):
     df = gappy(spark).withColumn("city_id", F.when(F.col("city_id") != 1, F.col("city_id")))
     for chunk_rows in (None, 8192):

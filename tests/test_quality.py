@@ -124,7 +124,7 @@ def test_auc_and_log_loss_against_brute_force(spark):
     rows = [(rng.randrange(2), round(rng.random(), 2)) for _ in range(400)]
     rows += [(1, 0.5)] * 200  # one score holds a third of all rows
     row = metrics.classification_metrics(
-        spark.createDataFrame(rows, "y int, p double"), "y", "p", cuts=7
+        spark.createDataFrame(rows, "y int, p double"), "y", "p"
     ).first()
     pos, neg = [p for y, p in rows if y], [p for y, p in rows if not y]
     wins = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
