@@ -57,19 +57,19 @@ def buffers(
     constants: Sequence[str] = (),
     rows: int = BUFFER_ROWS,
 ) -> DataFrame:
-    """One row per series: the last ``rows`` values of each measure as an array, oldest first."""
+    """One row per series: the last ``rows`` values of each measure as an array, oldest first.
+
+    ``constants`` do not change within a series; they come from its first kept row.
+    """
     tail = tail_rows(history, rows, ts, month_key(F.col(ts)), [series])
     packed = tail.groupBy(series).agg(
         F.max(ts).alias("last_ts"),
         F.array_sort(F.collect_list(F.struct(ts, *measures))).alias("_rows"),
+        *[F.min_by(c, ts).alias(c) for c in constants],
     )
-    state = packed.select(
-        series, "last_ts", *[F.col("_rows").getField(m).alias(m) for m in measures]
+    return packed.select(
+        series, "last_ts", *constants, *[F.col("_rows").getField(m).alias(m) for m in measures]
     )
-    if constants:
-        firsts = series_snapshot(history, series, ts, constants).drop("last_ts")
-        state = state.join(firsts, series)
-    return state
 
 
 def split_by_history(
@@ -191,8 +191,7 @@ def linear_forecast(
 
 def model_forecast(
     state: DataFrame,
-    regressor: Transformer,
-    classifier: Transformer,
+    models: Transformer,
     horizon: int = HORIZON,
     features: FeatureSet = PRODUCTION,
     checkpoint_every: int = 6,
@@ -200,7 +199,7 @@ def model_forecast(
 ) -> DataFrame:
     """Roll fitted models forward, one narrow step per hour for all series at once.
 
-    The models read the feature columns and write ``temperature_prediction`` and
+    ``models`` reads the feature columns and writes ``temperature_prediction`` and
     ``rain_probability_vector``. Every ``checkpoint_every`` hours the state is checkpointed to the
     shared folder, which bounds the plan and survives the loss of executors.
     ``precip_feedback``: what future hours see as precipitation, the rain ``probability`` or the
@@ -227,7 +226,7 @@ def model_forecast(
     ]
     for h in range(1, horizon + 1):
         seen = rolling.withColumns(known)
-        rolling = classifier.transform(regressor.transform(seen)).select(*kept)
+        rolling = models.transform(seen).select(*kept)
         if h % checkpoint_every == 0 or h == horizon:
             rolling = rolling.checkpoint()
     return rolling

@@ -77,6 +77,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("city_id", "timestamp")
     return df.groupBy(*keys).agg(F.count("*").alias("cnt")).where("cnt > 1")
 
 
+def head(df: DataFrame, order: Sequence[str] = ("city_id", "timestamp"), rows: int = 5) -> DataFrame:
+    """A first look: the first rows of an order."""
+    return df.orderBy(*order).limit(rows)
+
+
 def extent(df: DataFrame, series: str = "city_id", ts: str = "timestamp") -> DataFrame:
     """Rows, series and time span of a data set."""
     per_series = df.groupBy(series).agg(*_coverage(ts))

@@ -159,3 +159,13 @@ def relationships_check(spark: SparkSession, folder: str) -> DataFrame:
             checks.relationships(events, "events", "city_id", nation, "n_nationkey"),
         ]
     )
+
+
+@register(
+    with_tables(
+        """
+SELECT city_id, "timestamp", temperature FROM latest ORDER BY city_id, "timestamp" LIMIT 5"""
+    )
+)
+def head_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return profiles.head(latest(spark, folder).select("city_id", "timestamp", "temperature"))

@@ -49,7 +49,7 @@ def forecast(
     state = materialise(serving_state(mart_hourly, as_of, history_days), "state")
     ready, short = fc.split_by_history(state, needed=needed_rows)
     rolled = fc.model_forecast(
-        ready, trained.regressor, trained.classifier, horizon, checkpoint_every=checkpoint_every
+        ready, trained.both(), horizon, checkpoint_every=checkpoint_every
     )
     version = trained.meta.select("model_version").first().model_version
     rows = fc.forecast_rows(rolled, as_of, version)

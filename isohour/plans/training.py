@@ -26,6 +26,10 @@ class Trained:
     meta: DataFrame
     columns: list[str]
 
+    def both(self) -> PipelineModel:
+        """Both models behind one assembler, for serving."""
+        return PipelineModel([*self.regressor.stages, self.classifier.stages[-1]])
+
 
 def training_rows(
     mart_hourly: DataFrame, features: FeatureSet = PRODUCTION, scale: int | None = None
@@ -47,45 +51,49 @@ def training_rows(
 def regressor_pipeline(columns: list[str], iterations: int = 300, seed: int = 42) -> Pipeline:
     return Pipeline(
         stages=[
-            VectorAssembler(
-                inputCols=columns, outputCol="temperature_vector", handleInvalid="keep"
-            ),
+            _assembler(columns),
             GBTRegressor(
-                featuresCol="temperature_vector",
+                featuresCol="features",
                 labelCol="temperature",
                 predictionCol="temperature_prediction",
-                maxIter=iterations,
-                stepSize=0.05,
-                maxDepth=6,
-                subsamplingRate=0.8,
-                featureSubsetStrategy="0.8",
-                seed=seed,
+                **_boosting(iterations, seed),
             ),
         ]
     )
 
 
 def classifier_pipeline(columns: list[str], iterations: int = 300, seed: int = 42) -> Pipeline:
+    """Only the probability is asked for; an empty name switches an output column off."""
     return Pipeline(
         stages=[
-            VectorAssembler(inputCols=columns, outputCol="rain_vector", handleInvalid="keep"),
+            _assembler(columns),
             GBTClassifier(
-                featuresCol="rain_vector",
+                featuresCol="features",
                 labelCol="rained",
-                predictionCol="rain_class",
-                maxIter=iterations,
-                stepSize=0.05,
-                maxDepth=6,
-                subsamplingRate=0.8,
-                featureSubsetStrategy="0.8",
-                seed=seed,
+                predictionCol="",
+                **_boosting(iterations, seed),
             )
-            .setRawPredictionCol("rain_raw")
+            .setRawPredictionCol("")
             .setProbabilityCol("rain_probability_vector"),
         ]
     )
 
 
+def _assembler(columns: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep")
+
+
+def _boosting(iterations: int, seed: int) -> dict:
+    return dict(
+        maxIter=iterations,
+        stepSize=0.05,
+        maxDepth=6,
+        subsamplingRate=0.8,
+        featureSubsetStrategy="0.8",
+        seed=seed,
+    )
+
+
 def train(
     mart_hourly: DataFrame,
     as_of: str,

@@ -55,7 +55,7 @@ def test_save_and_load(spark, mart, trained):
     assert loaded.meta.first().model_version == "gbt_v1_2024-01"
     rows = training.training_rows(mart).limit(20)
     for a, b in ((trained.regressor, loaded.regressor), (trained.classifier, loaded.classifier)):
-        column = "temperature_prediction" if a is trained.regressor else "rain_class"
+        column = "temperature_prediction" if a is trained.regressor else "rain_probability_vector"
         assert [r[0] for r in a.transform(rows).select(column).collect()] == [
             r[0] for r in b.transform(rows).select(column).collect()
         ]
@@ -107,7 +107,7 @@ def test_precipitation_feedback(spark, mart, trained):
     ready, _ = fc.split_by_history(serving.serving_state(mart, AS_OF))
     for feedback in ("probability", "last"):
         rolled = fc.model_forecast(
-            ready, trained.regressor, trained.classifier, 2, precip_feedback=feedback
+            ready, trained.both(), 2, precip_feedback=feedback
         ).first()
         seen = rolled.precipitation[-2:]
         if feedback == "probability":
@@ -116,7 +116,7 @@ def test_precipitation_feedback(spark, mart, trained):
             assert seen == [rolled.precipitation[-3]] * 2
         assert rolled.humidity[-1] == rolled.humidity[-3]
     with pytest.raises(ValueError):
-        fc.model_forecast(ready, trained.regressor, trained.classifier, 1, precip_feedback="x")
+        fc.model_forecast(ready, trained.both(), 1, precip_feedback="x")
 
 
 def test_publish_replaces_the_run_day_even_with_nothing(spark, mart, trained):
