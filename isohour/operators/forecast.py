@@ -6,11 +6,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Transformer
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from isohour.functions.keys import surrogate_key
-from isohour.functions.times import calendar, day_of, days_before, instant, month_key, plus_hours, since
+from isohour.functions.times import (
+    calendar,
+    day_of,
+    days_before,
+    instant,
+    month_key,
+    plus_hours,
+    since,
+)
 from isohour.operators.features import PRODUCTION, FeatureSet, Trail
 from isohour.operators.running import tail_rows
 from isohour.session import shared_folder
@@ -128,6 +138,15 @@ class Linear:
     intercept: float = 0.0
     logistic: bool = False
 
+    @classmethod
+    def fitted(cls, model: LinearRegressionModel | LogisticRegressionModel, names: Sequence[str]) -> Linear:
+        """The weights of a fitted Spark ML model over the columns ``names``."""
+        return cls(
+            dict(zip(names, model.coefficients.toArray().tolist())),
+            float(model.intercept),
+            isinstance(model, LogisticRegressionModel),
+        )
+
     def on(self, features: Mapping[str, Column]) -> Column:
         value = None
         for name, weight in self.weights.items():

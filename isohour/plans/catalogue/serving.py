@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from isohour.functions.times import instant, month_key, plus_hours, version_label
@@ -19,6 +23,7 @@ from isohour.plans.catalogue.inputs import (
     with_tables,
 )
 from isohour.plans.catalogue.registry import Register
+from isohour.session import materialise
 
 register = Register()
 
@@ -181,6 +186,74 @@ def history_split(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_FITTED_SQL = with_tables(
+    f"""{_BUFFERS}, ready AS (
+  SELECT city_id, last_ts, temperature AS buf FROM buffers WHERE len(temperature) >= 168
+), pairs AS (
+  SELECT temperature AS y,
+         lag(temperature, 24) OVER (PARTITION BY city_id ORDER BY "timestamp") AS x FROM latest
+), fit AS (
+  SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM pairs WHERE x IS NOT NULL
+), rolled AS (
+  SELECT city_id, last_ts, buf, 0 AS h FROM ready
+  UNION ALL
+  SELECT city_id, last_ts, list_append(buf, a * buf[-24] + b), h + 1 FROM rolled, fit WHERE h < 168
+)
+SELECT city_id, CAST(h AS INTEGER) AS horizon_hours, round(buf[-1], 4) AS predicted_temperature
+FROM rolled WHERE h > 0""",
+    recursive=True,
+)
+
+
+def _fitted(spark: SparkSession, folder: str) -> tuple[DataFrame, PipelineModel]:
+    """Buffers and models on the value 24 rows ago, which SQL can fit in closed form."""
+    trails = (ft.Trail("temperature", "", (24,), ()),)
+    rows = ft.with_rain_label(ft.with_trails(latest(spark, folder), trails)).select(
+        "temperature", F.col("rained").cast("double"), "lag_24h"
+    )
+    training_set = materialise(rows.where("lag_24h IS NOT NULL"), "training")
+    models = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=["lag_24h"], outputCol="features", handleInvalid="keep"),
+            LinearRegression(
+                labelCol="temperature", predictionCol="temperature_prediction", solver="normal"
+            ),
+            LogisticRegression(
+                labelCol="rained",
+                predictionCol="",
+                rawPredictionCol="",
+                probabilityCol="rain_probability_vector",
+            ),
+        ]
+    ).fit(training_set)
+    state, _ = fc.split_by_history(_buffers(spark, folder))
+    return materialise(state, "state"), models
+
+
+def _predicted(rolled: DataFrame) -> DataFrame:
+    hours = rolled.select("city_id", F.posexplode("predicted_temperature").alias("h", "t"))
+    return hours.select(
+        "city_id",
+        (F.col("h") + 1).alias("horizon_hours"),
+        F.round("t", 4).alias("predicted_temperature"),
+    )
+
+
+@register(_FITTED_SQL)
+def fitted_linear_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Fitted linear models rolled forward as one expression."""
+    state, models = _fitted(spark, folder)
+    warm, wet = (fc.Linear.fitted(m, ["lag_24h"]) for m in models.stages[1:])
+    return _predicted(fc.linear_forecast(state, "city_id", warm, wet))
+
+
+@register(_FITTED_SQL)
+def fitted_loop_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """The same models rolled forward by the loop that takes any fitted model."""
+    state, models = _fitted(spark, folder)
+    return _predicted(fc.model_forecast(state, models))
+
+
 _RUNS = ("2024-01-29 04:30:00", "2024-01-30 04:30:00", "2024-01-30 18:00:00")
 _PUBLISH_SQL = ", ".join(f"(TIMESTAMP '{run}')" for run in _RUNS)
 
