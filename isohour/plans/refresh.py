@@ -54,13 +54,16 @@ def ingest(
 
     The archive load keeps every hour; the live load drops hours after ``as_of``.
     """
-    parsed = materialise(payload.parse(payload.landed(spark, landing)), "payload")
-    rows = payload.to_rows(parsed, as_of)
+    documents = payload.landed(spark, landing)
+    rows = payload.to_rows(payload.parse(documents), as_of)
     if not archive:
         rows = payload.drop_future(rows, as_of)
     rows = materialise(rows, "rows")
     tables.append_raw(rows, house.raw_weather_2years if archive else house.raw_weather_hourly)
-    refused = payload.quarantined(parsed).withColumn("refused_at", instant(as_of))
+    refused = materialise(
+        payload.quarantined(payload.parse(documents)).withColumn("refused_at", instant(as_of)),
+        "refused",
+    )
     refused.write.mode("append").parquet(house.quarantine)
     if not archive:
         state.record(rows, house.ingestion_state, pipeline, as_of)

@@ -19,9 +19,12 @@ _PARSED = T.StructType([*schemas.PAYLOAD.fields, T.StructField(_CORRUPT, T.Strin
 _ARRAYS = ("time", *schemas.PAYLOAD_FIELDS)
 
 
-def landed(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a landing folder: ``body`` and ``source_file``, plus folder columns."""
-    return spark.read.text(path).select(
+def landed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Documents of a landing folder: ``body`` and ``source_file``, plus folder columns.
+
+    ``whole_files`` reads each file as one document, for JSON that spans lines.
+    """
+    return spark.read.text(path, wholetext=whole_files).select(
         F.col("value").alias("body"), F.col("_metadata.file_path").alias("source_file"), "*"
     ).drop("value")
 
@@ -103,7 +106,8 @@ def payload_of(rows: DataFrame, *keys: str) -> DataFrame:
     )
     hourly = F.struct(
         F.transform(
-            "_rows", lambda r: F.date_format(r["timestamp"], "yyyy-MM-dd'T'HH:mm")
+            "_rows",
+            lambda r: F.translate(F.substring(r["timestamp"].cast("string"), 1, 16), " ", "T"),
         ).alias("time"),
         *[
             F.col("_rows").getField(measure).alias(field)

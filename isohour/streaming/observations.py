@@ -42,8 +42,16 @@ def with_event_time(rows: DataFrame, ts: str = "timestamp", lateness: str = LATE
     return rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
 
 
-def without_repeats(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop exact copies of a re-pull. The first copy stays, so only for identical ones."""
+def without_repeats(rows: DataFrame, keys: Sequence[str], spread: int = 16) -> DataFrame:
+    """Drop exact copies of a re-pull. The first copy stays, so only for identical ones.
+
+    A stream cannot drop copies before the shuffle, and one key may have most of them. So copies
+    are first dropped within ``spread`` shares of the input, by task, and then across the shares,
+    where a key has ``spread`` copies at most. ``spread=1`` saves the first step and its state.
+    """
+    if spread > 1:
+        rows = rows.withColumn("_share", F.spark_partition_id() % spread)
+        rows = rows.dropDuplicatesWithinWatermark([*keys, "_share"]).drop("_share")
     return rows.dropDuplicatesWithinWatermark(list(keys))
 
 

@@ -182,6 +182,26 @@ def test_upsert_rewrites_only_touched_months_and_is_repeatable(spark):
     assert upsert.upsert(spark, path, batch.limit(0), KEYS, "timestamp") == []
 
 
+def test_upsert_without_a_copy_gives_the_same_table(spark):
+    found = []
+    for keep_copy in (True, False):
+        path = scratch_path(spark, "copy")
+        for rows in ([(0, 1, 1.0, 1), (1, 1, 2.0, 1)], [(1, 1, 5.0, 2), (2, 1, 6.0, 2)]):
+            upsert.upsert(spark, path, raw(spark, rows), KEYS, "timestamp", keep_copy=keep_copy)
+        found.append(rows_of(spark.read.parquet(path), "timestamp", "temperature"))
+    assert found[0] == found[1] == [(at(0), 1.0), (at(1), 5.0), (at(2), 6.0)]
+
+
+def test_a_hot_key_leaves_one_row(spark):
+    """A third of all rows are copies of one hour."""
+    rows = [(0, 1, float(i % 50), i) for i in range(300)] + [(1 + i, 2, 1.0, i) for i in range(600)]
+    df = raw(spark, rows).repartition(8)
+    for form in ("rank", "aggregate"):
+        kept = keep_latest(df, KEYS, form=form)
+        assert kept.count() == 601
+        assert rows_of(kept.where("city_id = 1"), "temperature", "ingestion_ts") == [(49.0, at(299))]
+
+
 def test_full_refresh_replaces_everything(spark):
     path = scratch_path(spark, "refresh")
     upsert.upsert(spark, path, raw(spark, [(0, 1, 1.0, 1), (24 * 40, 1, 2.0, 1)]), KEYS, "timestamp")

@@ -77,6 +77,15 @@ def test_folder_names_the_series(spark):
     assert {r.city_id for r in rows.collect()} == {3, 4}
 
 
+def test_documents_that_span_lines(spark):
+    root = scratch_path(spark, "pretty")
+    body = json.dumps(json.loads(document()), indent=2)
+    spark.createDataFrame([(body,)], "value string").coalesce(1).write.text(root)
+    assert payload.quarantined(payload.parse(payload.landed(spark, root))).count() > 1
+    rows = payload.to_rows(payload.parse(payload.landed(spark, root, whole_files=True)), LOADED)
+    assert rows.count() == 2
+
+
 def test_payload_round_trip(spark):
     rows = raw(spark, [(0, 1, 5.0, 24), (1, 1, None, 24), (0, 2, 7.5, 24)])
     back = payload.to_rows(payload.parse(payload.payload_of(rows, "city_id").select("body")), LOADED)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from helpers import at, raw, rows_of
 from pyspark.sql import functions as F
 
@@ -68,14 +69,16 @@ def test_latest_per_hour_waits_for_the_watermark(spark):
     assert found == [(at(0), 5.0), (at(10), 7.0)]
 
 
-def test_repeats_are_dropped_across_batches(spark):
+@pytest.mark.parametrize("spread", [1, 4])
+def test_repeats_are_dropped_across_batches(spark, spread):
     root = scratch_path(spark, "repeats")
     add(spark, f"{root}/in", [])
     rows = live.without_repeats(
-        live.with_event_time(stream_of(spark, f"{root}/in")), [*KEYS, "ingestion_ts"]
+        live.with_event_time(stream_of(spark, f"{root}/in")), [*KEYS, "ingestion_ts"], spread
     )
     for _ in range(2):
-        add(spark, f"{root}/in", [(0, 1, 1.0, 1), (1, 1, 1.0, 1), (1, 1, 1.0, 2)])
+        for _ in range(5):
+            add(spark, f"{root}/in", [(0, 1, 1.0, 1), (1, 1, 1.0, 1), (1, 1, 1.0, 2)])
         live.append_to(rows, f"{root}/out", f"{root}/ck").awaitTermination()
     assert spark.read.parquet(f"{root}/out").count() == 3
 
