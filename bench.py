@@ -46,6 +46,7 @@ HEADLINE = (
     "warehouse_refresh",
     "stream_daily_totals",
     "stream_latest_per_hour",
+    "fitted_linear_forecast",
 )
 
 

@@ -29,6 +29,11 @@ def month_key(ts: Column) -> Column:
     return F.year(ts) * 100 + F.month(ts)
 
 
+def day_key(ts: Column) -> Column:
+    """yyyymmdd as an int."""
+    return month_key(ts) * 100 + F.dayofmonth(ts)
+
+
 def days_before(as_of: Column, days: int, *, snap_to_day: bool = False) -> Column:
     since = as_of - F.make_dt_interval(F.lit(days))
     return day_of(since) if snap_to_day else since
@@ -48,9 +53,9 @@ def backfill_range(as_of: Column, years: int = 2) -> tuple[Column, Column]:
 
 
 def since(df: DataFrame, ts: str, start: Column, end: Column | None = None) -> DataFrame:
-    """Rows of a closed time range, pruned by month where the table carries ``ym``.
+    """Rows of a closed time range, pruned by month or day where the table is laid out so.
 
-    Spark cannot derive the month predicate from the time predicate, so both are stated.
+    Spark cannot derive the folder predicate from the time predicate, so both are stated.
     """
     kept = df.where(F.col(ts) >= start)
     if end is not None:
@@ -59,6 +64,11 @@ def since(df: DataFrame, ts: str, start: Column, end: Column | None = None) -> D
         kept = kept.where(F.col("ym") >= month_key(start))
         if end is not None:
             kept = kept.where(F.col("ym") <= month_key(end))
+    if {"ym", "day"} <= set(df.columns):
+        folder = F.col("ym") * 100 + F.col("day")
+        kept = kept.where(folder >= day_key(start))
+        if end is not None:
+            kept = kept.where(folder <= day_key(end))
     return kept
 
 

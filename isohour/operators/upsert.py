@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from isohour.functions.times import instant, month_key
+from isohour.functions.times import instant
 from isohour.operators.dedup import keep_latest
 from isohour.session import materialise
 from isohour.sources import tables
@@ -52,10 +52,10 @@ def carry_first_seen(
     )
 
 
-def months_of(batch: DataFrame, ts: str) -> list[int]:
-    """The partition months a batch touches: one number per calendar month."""
-    rows = batch.select(month_key(F.col(ts)).alias("ym")).distinct().collect()
-    return sorted(r.ym for r in rows)
+def folders_of(batch: DataFrame, ts: str, grain: str = "month") -> list[int]:
+    """The folders a batch touches: one number per calendar month or day."""
+    rows = batch.select(tables.folder_key(F.col(ts), grain).alias("folder")).distinct().collect()
+    return sorted(r.folder for r in rows)
 
 
 def upsert(
@@ -68,33 +68,37 @@ def upsert(
     as_of: str | Column | None = None,
     full_refresh: bool = False,
     keep_copy: bool = True,
+    grain: str = "month",
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = replace_keys,
 ) -> list[int]:
-    """Apply a batch to the Parquet table at ``path``; returns the months written.
+    """Apply a batch to the Parquet table at ``path``; returns the folders written.
 
-    Only the months the batch touches are read and rewritten. The batch is written to the shared
-    folder first, since it is read several times and may itself be derived from the target. With
-    ``keep_copy`` the merged months are written there too before the table is changed: should the
-    run die while folders are being swapped, the months can be restored with
-    ``tables.write_months(copy, path, ts, keys, "months")``. Without it that write is saved.
+    Only the months or days the batch touches are read and rewritten; ``grain`` sets the layout
+    of a new table. The batch is written to the shared folder first, since it is read several
+    times and may itself be derived from the target. With ``keep_copy`` the merged folders are
+    written there too before the table is changed: should the run die while folders are being
+    swapped, they can be restored with ``tables.write_table(copy, path, ts, keys, "folders")``.
+    Without it that write is saved.
 
     With ``as_of`` the audit column ``ingestion_ts`` is carried over from the target.
     """
     batch = materialise(batch, "batch")
-    months = months_of(batch, ts)
-    if not months:
-        return []
     target = None if full_refresh else tables.read(spark, path)
+    if target is not None:
+        grain = tables.grain_of(target)
+    folders = folders_of(batch, ts, grain)
+    if not folders:
+        return []
     if target is None:
         if as_of is not None:
             batch = carry_first_seen(batch, None, keys, as_of)
-        tables.write_months(batch, path, ts, keys, mode="overwrite")
-        return months
-    touched = target.where(F.col("ym").isin(months)).drop("ym")
+        tables.write_table(batch, path, ts, keys, "overwrite", grain)
+        return folders
+    touched = tables.without_folders(tables.in_folders(target, folders))
     if as_of is not None:
         batch = carry_first_seen(batch, touched, keys, as_of)
     merged = merge(touched, batch.select(*touched.columns), keys)
     if keep_copy:
         merged = materialise(merged, "merged")
-    tables.write_months(merged, path, ts, keys, mode="months")
-    return months
+    tables.write_table(merged, path, ts, keys, "folders", grain)
+    return folders

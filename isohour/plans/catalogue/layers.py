@@ -24,6 +24,7 @@ from isohour.plans.catalogue.inputs import (
 from isohour.plans.catalogue.registry import Register
 from isohour.plans.catalogue.tables import payload_documents
 from isohour.session import scratch_path
+from isohour.sources.tables import without_folders
 
 register = Register()
 
@@ -181,7 +182,17 @@ def upsert_stored_table(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "upserted")
     for rows in (target, batch, batch):
         upsert.upsert(spark, path, rows, ("city_id", "timestamp"), "timestamp")
-    return spark.read.parquet(path).drop("ym")
+    return without_folders(spark.read.parquet(path))
+
+
+@register(with_tables(_UPSERTED))
+def upsert_stored_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """And on a table laid out by day, of which only the batch's days are rewritten."""
+    target, batch = _target_and_batch(spark, folder)
+    path = scratch_path(spark, "upserted")
+    for rows in (target, batch):
+        upsert.upsert(spark, path, rows, ("city_id", "timestamp"), "timestamp", grain="day")
+    return without_folders(spark.read.parquet(path))
 
 
 @register(
@@ -309,4 +320,4 @@ def warehouse_refresh(spark: SparkSession, folder: str) -> DataFrame:
     refresh.ingest(spark, house, landing, AS_OF)
     refresh.refresh_observations(spark, house, AS_OF)
     refresh.refresh_marts(spark, house, AS_OF, scale=DIGITS)
-    return spark.read.parquet(house.mart_weather_daily).drop("ym")
+    return without_folders(spark.read.parquet(house.mart_weather_daily))

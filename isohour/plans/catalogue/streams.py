@@ -18,6 +18,7 @@ from isohour.plans.catalogue.registry import Register
 from isohour.plans.catalogue.tables import payload_documents
 from isohour.schemas import MEASURES
 from isohour.session import scratch_path
+from isohour.sources.tables import without_folders
 from isohour.streaming import observations as live
 
 register = Register()
@@ -45,7 +46,7 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     live.ingest_payloads(
         spark, f"{root}/landing", f"{root}/raw", f"{root}/refused", f"{root}/state", AS_OF
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/raw").drop("ym")
+    return without_folders(spark.read.parquet(f"{root}/raw"))
 
 
 @register("SELECT event_id, ts, user_id, value FROM events")
@@ -95,7 +96,7 @@ def stream_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
     live.upsert_into(
         rows, f"{root}/out", f"{root}/state", ("city_id", "observation_date"), "observation_date"
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/out").drop("ym")
+    return without_folders(spark.read.parquet(f"{root}/out"))
 
 
 @register(
@@ -115,4 +116,4 @@ def stream_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
         "timestamp",
         latest="ingestion_ts",
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/out").drop("ym")
+    return without_folders(spark.read.parquet(f"{root}/out"))

@@ -156,7 +156,7 @@ def month_pruned_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Write orders month by month, sorted; read a time range back from the months it touches."""
     path = scratch_path(spark, "orders")
     orders = table(spark, folder, "orders").select("o_orderdate", "o_custkey", "o_totalprice")
-    store.write_months(orders, path, "o_orderdate", ("o_custkey", "o_orderdate"))
+    store.write_table(orders, path, "o_orderdate", ("o_custkey", "o_orderdate"))
     stored = spark.read.parquet(path)
     kept = since(stored, "o_orderdate", instant("1996-01-15"), instant("1997-03-10"))
     return kept.groupBy("ym").agg(

@@ -31,9 +31,10 @@ class Lookback:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Paths of the tables under one root."""
+    """Paths of the tables under one root; ``grain`` is how finely new tables are laid out."""
 
     root: str
+    grain: str = "month"
 
     def __getattr__(self, name: str) -> str:
         if name.startswith("_"):
@@ -59,7 +60,8 @@ def ingest(
     if not archive:
         rows = payload.drop_future(rows, as_of)
     rows = materialise(rows, "rows")
-    tables.append_raw(rows, house.raw_weather_2years if archive else house.raw_weather_hourly)
+    raw = house.raw_weather_2years if archive else house.raw_weather_hourly
+    tables.append_raw(rows, raw, grain=house.grain)
     refused = materialise(
         payload.quarantined(payload.parse(documents)).withColumn("refused_at", instant(as_of)),
         "refused",
@@ -104,6 +106,7 @@ def refresh_observations(
         ("city_id", "timestamp"),
         "timestamp",
         full_refresh=full_refresh,
+        grain=house.grain,
     )
 
 
@@ -132,7 +135,16 @@ def refresh_marts(
             batch = hourly_mart(rows, city, country, as_of)
         else:
             batch = daily_mart(rows, city, country, as_of, scale)
-        upsert(spark, path, batch, keys, keys[1], as_of=as_of, full_refresh=full_refresh)
+        upsert(
+            spark,
+            path,
+            batch,
+            keys,
+            keys[1],
+            as_of=as_of,
+            full_refresh=full_refresh,
+            grain=house.grain,
+        )
 
 
 def late_rows(raw: DataFrame, lookback_days: int) -> DataFrame:

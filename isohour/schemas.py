@@ -46,7 +46,8 @@ DESCRIPTIONS = {
     "tech_key": "Surrogate key: a hash of the natural key",
     "ingestion_ts": "When the row was first loaded into this table",
     "update_ts": "When the row was last recomputed",
-    "ym": "Partition month as yyyymm",
+    "ym": "Folder month as yyyymm",
+    "day": "Folder day of the month",
 }
 
 _D, _I, _S, _TS = T.DoubleType(), T.IntegerType(), T.StringType(), T.TimestampNTZType()

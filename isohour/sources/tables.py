@@ -1,4 +1,4 @@
-"""Month-partitioned Parquet tables, table definitions and column descriptions."""
+"""Parquet tables laid out by month or day, table definitions and column descriptions."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from isohour import schemas
-from isohour.functions.times import instant, month_key
+from isohour.functions.times import day_key, instant, month_key
 
 
 def read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -26,38 +26,75 @@ def scan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def laid_out(df: DataFrame, ts: str, order: Sequence[str]) -> DataFrame:
-    """Add ``ym`` and arrange rows for a write: few files per month, sorted by series and time.
+# Folder columns of a table, by how finely it is laid out.
+GRAINS = {"month": ("ym",), "day": ("ym", "day")}
 
-    ``rebalance`` lets adaptive execution split a month that is too large for one task and merge
-    small ones; a plain repartition by month would put each month into a single task.
+
+def grain_of(table: DataFrame) -> str:
+    return "day" if {"ym", "day"} <= set(table.columns) else "month"
+
+
+def without_folders(table: DataFrame) -> DataFrame:
+    """The table's own columns."""
+    return table.drop(*GRAINS[grain_of(table)])
+
+
+def folder_key(ts: Column, grain: str) -> Column:
+    """The number of the folder a row belongs to: yyyymm or yyyymmdd."""
+    return day_key(ts) if grain == "day" else month_key(ts)
+
+
+def in_folders(table: DataFrame, keys: Sequence[int]) -> DataFrame:
+    """Rows of the given folders; other folders are not read."""
+    folder = F.col("ym") if grain_of(table) == "month" else F.col("ym") * 100 + F.col("day")
+    return table.where(folder.isin(list(keys)))
+
+
+def laid_out(df: DataFrame, ts: str, order: Sequence[str], grain: str = "month") -> DataFrame:
+    """Add the folder columns and arrange rows for a write: few files per folder, each sorted.
+
+    ``rebalance`` lets adaptive execution split a month or day that is too large for one task and
+    merge small ones; a plain repartition would put each folder into a single task.
     """
+    made = {"ym": month_key(F.col(ts)), "day": F.dayofmonth(ts)}
+    folders = GRAINS[grain]
     return (
-        df.withColumn("ym", month_key(F.col(ts)))
-        .hint("rebalance", "ym")
-        .sortWithinPartitions("ym", *order)
+        df.withColumns({c: made[c] for c in folders})
+        .hint("rebalance", *folders)
+        .sortWithinPartitions(*folders, *order)
     )
 
 
-def write_months(
-    df: DataFrame, path: str, ts: str, order: Sequence[str], mode: str = "append"
+def write_table(
+    df: DataFrame,
+    path: str,
+    ts: str,
+    order: Sequence[str],
+    mode: str = "append",
+    grain: str = "month",
 ) -> None:
-    """``append`` rows, ``overwrite`` the table, or replace only the ``months`` present in df."""
-    writer = laid_out(df.drop("ym"), ts, order).write.partitionBy("ym")
-    if mode == "months":
+    """``append`` rows, ``overwrite`` the table, or replace only the ``folders`` present in df.
+
+    ``grain="month"`` suits small tables. With ``grain="day"`` an upsert of the last days rewrites
+    those days only, which pays once a month is large.
+    """
+    writer = laid_out(df, ts, order, grain).write.partitionBy(*GRAINS[grain])
+    if mode == "folders":
         writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     else:
         writer = writer.option("partitionOverwriteMode", "static").mode(mode)
     writer.parquet(path)
 
 
-def append_raw(rows: DataFrame, path: str, loaded_at: str | Column | None = None) -> None:
+def append_raw(
+    rows: DataFrame, path: str, loaded_at: str | Column | None = None, grain: str = "month"
+) -> None:
     """Append to a raw table. Duplicates are welcome here; the load time decides later."""
     if "ingestion_ts" not in rows.columns:
         stamp = F.localtimestamp() if loaded_at is None else instant(loaded_at)
         rows = rows.withColumn("ingestion_ts", stamp)
     columns = [F.col(f.name).cast(f.dataType) for f in schemas.RAW.fields]
-    write_months(rows.select(*columns), path, "timestamp", ("city_id", "timestamp"))
+    write_table(rows.select(*columns), path, "timestamp", ("city_id", "timestamp"), grain=grain)
 
 
 def create_database(spark: SparkSession, name: str) -> None:

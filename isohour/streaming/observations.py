@@ -142,8 +142,9 @@ def upsert_into(
     keys: Sequence[str],
     ts: str,
     latest: str | None = None,
+    grain: str = "month",
 ) -> StreamingQuery:
-    """Upsert each micro-batch into a month-partitioned table; replays change nothing.
+    """Upsert each micro-batch into a stored table; replays change nothing.
 
     With ``latest`` the later row of batch and table wins; without it the batch wins, which is
     right for aggregates in update mode.
@@ -157,7 +158,7 @@ def upsert_into(
     def load(batch: DataFrame, _: int) -> None:
         if latest is not None:
             batch = keep_latest(batch, keys, latest)
-        upsert(batch.sparkSession, path, batch, keys, ts, merge=merge)
+        upsert(batch.sparkSession, path, batch, keys, ts, grain=grain, merge=merge)
 
     return (
         rows.writeStream.outputMode("update")

@@ -17,6 +17,7 @@ from isohour.functions.times import (
     hour_of,
     instant,
     month_key,
+    since,
     version_label,
 )
 from isohour.operators import marts, upsert
@@ -230,6 +231,25 @@ def test_merge_latest_ignores_older_copies(spark):
     assert rows_of(upsert.merge_latest(once, batch, KEYS), "temperature") == [(1.0,), (3.0,)]
 
 
+def test_day_layout_rewrites_only_touched_days(spark):
+    path = scratch_path(spark, "days")
+    first = raw(spark, [(h, 1, float(h), 1) for h in range(0, 96, 6)])
+    days = [20240101, 20240102, 20240103, 20240104]
+    assert upsert.upsert(spark, path, first, KEYS, "timestamp", grain="day") == days
+    batch = raw(spark, [(90, 1, 500.0, 2)])
+    before = {f for f in spark.read.parquet(path).inputFiles() if "day=4" not in f}
+    # the stored layout decides, whatever the caller says
+    assert upsert.upsert(spark, path, batch, KEYS, "timestamp") == [20240104]
+    stored = spark.read.parquet(path)
+    assert before == {f for f in stored.inputFiles() if "day=4" not in f}
+    assert stored.count() == 16 and stored.where("temperature = 500").count() == 1
+    kept = since(stored, "timestamp", instant("2024-01-02 06:00:00"), instant("2024-01-03"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "day" in filters and "ym" in filters
+    assert rows_of(kept, "temperature") == sorted([(30.0,), (36.0,), (42.0,), (48.0,)], key=repr)
+
+
 def test_months_of_dates(spark):
     df = spark.createDataFrame([(date(2024, 1, 1),), (date(2023, 12, 31),)], "d date")
-    assert upsert.months_of(df, "d") == [202312, 202401]
+    assert upsert.folders_of(df, "d") == [202312, 202401]
