@@ -100,12 +100,12 @@ def cross_validate(
 ) -> Experiment:
     """Fit every model on every fold; only the metrics reach the driver.
 
-    ``rows`` are read often, so they are written to the shared folder with their block once.
+    The assembled rows are read often, so they are written to the shared folder once; fold borders
+    and every fit start from there.
     """
     spark = rows.sparkSession
-    blocked = materialise(
-        assembled(with_block(rows, folds=folds), columns, target, "block"), "folds"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    stored = materialise(assembled(rows, columns, target, "timestamp"), "folds")
+    blocked = with_block(stored, folds=folds).persist(StorageLevel.MEMORY_AND_DISK)
     chosen = list(models or candidates())
 
     def one(job: tuple[Candidate, int]) -> tuple[tuple, PipelineModel]:

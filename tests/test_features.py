@@ -20,8 +20,12 @@ def gappy(spark, cities=3, hours=900, keep=0.7, seed=1):
         for h in range(hours if city else 40):
             if rng.random() < keep:
                 t = None if rng.random() < 0.05 else round(rng.uniform(-5, 35), 1)
-                rows.append((city, at(h * (1 if h < 500 else 9)), t, float(h % 90), 1000.0 + h % 13, h % 4 / 2))
-    kind = "city_id int, timestamp timestamp_ntz, temperature double, humidity double, pressure double, precipitation double"
+                hour = h if h < 500 else 9 * h
+                rows.append((city, at(hour), t, float(h % 90), 1000.0 + h % 13, h % 4 / 2))
+    kind = (
+        "city_id int, timestamp timestamp_ntz, temperature double, humidity double, "
+        "pressure double, precipitation double"
+    )
     return spark.createDataFrame(rows, kind)
 
 

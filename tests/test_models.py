@@ -125,7 +125,8 @@ def test_publish_replaces_the_run_day_even_with_nothing(spark, mart, trained):
     fc.publish(rows, path, "2024-01-16")
     fc.publish(rows, path, "2024-01-17")
     fc.publish(rows.where("horizon_hours = 1"), path, "2024-01-17")
-    days = {str(r.run_date): r.n for r in spark.read.parquet(path).groupBy("run_date").agg(F.count("*").alias("n")).collect()}
+    counts = spark.read.parquet(path).groupBy("run_date").agg(F.count("*").alias("n"))
+    days = {str(r.run_date): r.n for r in counts.collect()}
     assert days == {"2024-01-16": 4, "2024-01-17": 2}
     fc.publish(rows.limit(0), path, "2024-01-17")
     assert {str(r.run_date) for r in spark.read.parquet(path).collect()} == {"2024-01-16"}

@@ -73,7 +73,8 @@ def test_default_daily_lookback_misses_the_oldest_correction(spark):
     refresh.refresh_marts(spark, house, as_of)
 
     def highest(path):
-        return spark.read.parquet(path).agg(F.max("temperature" if "hourly" in path else "max_temperature")).first()[0]
+        column = "temperature" if "hourly" in path else "max_temperature"
+        return spark.read.parquet(path).agg(F.max(column)).first()[0]
 
     assert highest(house.mart_weather_hourly) == 30.0
     assert highest(house.mart_weather_daily) == 10.0
