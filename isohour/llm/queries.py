@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isohour.llm import bpe, packing, pages, quality, rules, urls, vectors
+from isohour.llm import bpe, packing, pages, quality, rules, setsketch, urls, vectors
 from isohour.llm.common import workers_import
 from isohour.plans.catalogue.registry import Register
 
@@ -35,6 +35,11 @@ def op4_order_preserving_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+@register()
+def op5_setsketch_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, folder, "documents"))
+
+
 @register()
 def op6_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
