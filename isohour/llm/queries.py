@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isohour.llm import bpe, packing, pages, quality, rules, setsketch, urls, vectors
+from isohour.llm import bpe, packing, pages, passages, quality, rules, setsketch, urls, vectors
 from isohour.llm.common import workers_import
 from isohour.plans.catalogue.registry import Register
 
@@ -50,6 +50,11 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(table(spark, folder, "pages"))
 
 
+@register()
+def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.deduplicate(table(spark, folder, "documents"))
+
+
 @register()
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
