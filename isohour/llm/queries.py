@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isohour.llm import bpe, packing, pages, passages, quality, rules, setsketch, urls, vectors
+from isohour.llm import bpe, packing, pages, passages, quality, quotes, rules, setsketch, urls, vectors
 from isohour.llm.common import workers_import
 from isohour.plans.catalogue.registry import Register
 
@@ -19,6 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@register()
+def op1_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.link(table(spark, folder, "conversations"))
+
+
 @register()
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
@@ -65,4 +71,9 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), urls.parse_rules(*URL_RULES))
 
 
+@register(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = register.found

@@ -15,7 +15,8 @@ on a scale of base ``BASE``: sketches merge by maximum and equal registers mark
 At a similarity of 0.8 two sets miss every band with a probability of about 3 in a million.
 
 Defined results: null texts and texts without words have an empty set, are linked with nothing and are their
-own component. Repeated rows of one doc_id are one document. Ties (similarity exactly at the threshold)
+own component. Repeated rows of one doc_id are one document. Rows without doc_id join the class of an
+equal set, else they have no component and are kept. Ties (similarity exactly at the threshold)
 link. Extra columns are ignored.
 """
 
@@ -212,7 +213,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 2, key: str
     classes = sketched.where("digest IS NOT NULL").groupBy("digest", "n", "registers").agg(F.min("doc_id").alias("id"))
     known = fixed(classes, "set-classes")
 
-    bands = known.select("id", F.explode(band_keys(F.col("registers"))).alias("bucket"))
+    bands = known.where("id IS NOT NULL").select("id", F.explode(band_keys(F.col("registers"))).alias("bucket"))
     full = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = fixed(bands.join(full, "bucket"), "bucket-members")
     central = members.groupBy("id").agg(F.sum("size").alias("met"))
@@ -234,5 +235,5 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 2, key: str
     of_class = known.select("digest", "id").join(final, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     component = F.coalesce("component", "doc_id")
     return sketched.join(of_class, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")
     )
