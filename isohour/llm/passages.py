@@ -8,11 +8,12 @@ they end. Sorting suffixes is left to Spark's shuffles, which bring equal prefix
 1. Anchors. Of the short strings inside every window of ``length`` bytes the one of the least hash is its
    anchor; equal windows have equal anchors, so windows with an anchor that occurs once are unique.
    Neighbouring windows share anchors, so there are few.
-2. Cells. The windows of a repeated anchor are looked at in cells of ``CELL`` neighbours. What all windows of
+   An anchor whose whole context (all bytes of its windows) is found again is settled: all its windows repeat.
+2. Cells. The windows of any other repeated anchor are looked at in cells of ``CELL`` neighbours. What all windows of
    a cell have in common (its core) must be repeated, or none of them is. If the union of the
    cell's windows is repeated, all of them are.
-3. Windows. What is still open, at the ends of passages, is compared window by window, among open cells and
-   one of each kind of repeated cells with the same core.
+3. Windows. What is still open, at the ends of passages, is compared window by window. One of each kind of
+   settled anchors and cells takes part for all of its kind.
 
 Collisions: hashes run over mixed 8-byte values; unions and windows are compared by two independent 64-bit
 hashes, and both must agree. A repeated hash counts only if it occurs at two different places.
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from isohour.llm.common import fixed, slices
 from isohour.llm.shingles import mixed
@@ -40,6 +41,7 @@ CELL = 16
 SEGMENT = 1 << 20
 BATCH_BYTES = 2 << 20
 GRAM = 8
+ANCHOR = ("key", "context", "at", "first", "last")
 PLACE_BITS = np.uint64((1 << 24) - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -71,7 +73,7 @@ class Prefixes:
             np.cumsum(values * powers(which, n)[0][:n], out=total[1:])
             self.sums.append(total)
 
-    def hashes(self, starts: np.ndarray, length: int, which: int) -> np.ndarray:
+    def hashes(self, starts: np.ndarray, length: int | np.ndarray, which: int) -> np.ndarray:
         total, inverse = self.sums[which], powers(which, len(self.sums[which]))[1]
         return mixed((total[starts + (length - GRAM + 1)] - total[starts]) * inverse[starts])
 
@@ -92,17 +94,22 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(raw: bytes, length: int, short: int) -> tuple[list[np.ndarray], ...]:
-    """Hash, place, first and last window start of every anchor."""
-    found: list[list[np.ndarray]] = [[], [], [], []]
+    """Hash, context, place, first and last window start of every anchor. The context hashes all bytes of the
+    anchor's windows and where in them the anchor lies."""
+    found: list[list[np.ndarray]] = [[], [], [], [], []]
     for start, end in stretches(len(raw), length):
         part = raw[start:end]
         n = len(part) - short + 1
-        hashes = Prefixes(part).hashes(np.arange(n), short, 0)
+        prefixes = Prefixes(part)
+        hashes = prefixes.hashes(np.arange(n), short, 0)
         least = sliding_least((hashes & ~PLACE_BITS) | np.arange(n, dtype=np.uint64), length - short + 1)
         at = (least & PLACE_BITS).astype(np.int64)
         first = np.flatnonzero(np.diff(at, prepend=-1))
         last = np.append(first[1:], len(at)) - 1
-        for column, values in zip(found, (hashes[at[first]].view(np.int64), at[first] + start, first + start, last + start)):
+        context = prefixes.hashes(first, last - first + length, 1)
+        context = mixed(context ^ mixed(((at[first] - first) * length + last - first).astype(np.uint64)))
+        keys = hashes[at[first]].view(np.int64), context.view(np.int64)
+        for column, values in zip(found, (*keys, at[first] + start, first + start, last + start)):
             column.append(values)
     return tuple(found)
 
@@ -112,7 +119,7 @@ def document_anchors(docs: DataFrame, length: int, short: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
-            sizes, digests, columns = [], [], ([], [], [], [])
+            sizes, digests, columns = [], [], ([], [], [], [], [])
             for text in batch.column(1):
                 raw = text.as_py().encode()
                 sizes.append(len(raw))
@@ -122,10 +129,10 @@ def document_anchors(docs: DataFrame, length: int, short: int) -> DataFrame:
             arrays = [pa.array(c, pa.list_(pa.int64())) for c in columns]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *arrays],
-                ["doc_id", "n_bytes", "digest", "keys", "at", "first", "last"],
+                ["doc_id", "n_bytes", "digest", *ANCHOR],
             )
 
-    lists = ", ".join(f"{c} array<bigint>" for c in ("keys", "at", "first", "last"))
+    lists = ", ".join(f"{c} array<bigint>" for c in ANCHOR)
     return docs.mapInArrow(rows, f"doc_id bigint, n_bytes bigint, digest binary, {lists}")
 
 
@@ -192,14 +199,25 @@ def windows(texts: DataFrame, length: int) -> DataFrame:
 
 def repeated(rows: DataFrame, *hashes: str) -> DataFrame:
     """The hashes found at two different places at least."""
-    place = F.struct("doc_id", "start")
+    place = F.xxhash64("doc_id", "start")
     ends = rows.groupBy(*hashes).agg(F.min(place).alias("one"), F.max(place).alias("other"))
     return ends.where("one <> other").select(*hashes)
 
 
-def spans_of(rows: DataFrame, low: str | Column, high: str | Column) -> DataFrame:
-    low, high = (F.col(c) if isinstance(c, str) else c for c in (low, high))
-    return rows.select("doc_id", F.struct(low.alias("low"), high.alias("high")).alias("span"))
+def anchors_met(spots: DataFrame) -> DataFrame:
+    """Anchors found at several places, marked ``whole`` where their whole context is found again, and ``open`` where
+    windows must be looked at: all others, and one of each kind of whole ones that others may share windows with."""
+    place = F.xxhash64("doc_id", "at")
+    kinds = spots.groupBy("key", "context").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+    kinds = kinds.withColumn("whole", F.col("one") != F.col("other"))
+    keys = kinds.groupBy("key").agg(
+        F.min("one").alias("first_one"), F.max("other").alias("last_one"), F.count(F.when(~F.col("whole"), 1)).alias("single")
+    )
+    keys = keys.where("first_one <> last_one").select("key", "single")
+    known = kinds.join(keys, "key").select("key", "context", "whole", "single", "one")
+    stands = (F.col("single") > 0) & (place == F.col("one"))
+    met = spots.join(known, ["key", "context"])
+    return met.select("doc_id", "at", "first", "last", "whole", (~F.col("whole") | stands).alias("open"))
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -235,28 +253,35 @@ def deduplicate(docs: DataFrame, length: int = 400, short: int = 100, key: str =
     null where nothing was removed."""
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     anchored = fixed(document_anchors(rows, length, short), "anchors")
-    spots = anchored.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.arrays_zip("keys", "at", "first", "last")).alias("s"))
-    spots = spots.select("doc_id", F.col("s.keys").alias("key"), F.col("s.at").alias("start"), F.col("s.first").alias("first"), F.col("s.last").alias("last"))
-    by_doc = spots.join(repeated(spots, "key"), "key").groupBy("doc_id").agg(F.collect_list(F.struct(F.col("start").alias("at"), "first", "last")).alias("spots"))
-    held = fixed(rows.join(by_doc, "doc_id").select("doc_id", "text", "spots"), "repeat-texts")
+    spots = anchored.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.arrays_zip(*ANCHOR)).alias("s")).select("doc_id", "s.*")
+    span = F.struct(F.col("first").alias("low"), (F.col("last") + length).alias("high"))
+    by_doc = anchors_met(spots).groupBy("doc_id").agg(
+        F.collect_list(F.when(F.col("open"), F.struct("at", "first", "last"))).alias("spots"),
+        F.collect_list(F.when(F.col("whole"), span)).alias("spans"),
+    )
+    held = fixed(rows.join(by_doc, "doc_id").select("doc_id", "text", "spots", "spans"), "repeat-texts")
 
-    looked = fixed(cells(held, length), "cells")
+    looked = fixed(cells(held.where("size(spots) > 0"), length), "cells")
     live = looked.join(repeated(looked, "core"), "core")
     whole = repeated(live.where("u1 IS NOT NULL"), "u1", "u2").withColumn("whole", F.lit(True))
     live = live.join(whole, ["u1", "u2"], "left").withColumn("whole", F.coalesce("whole", F.lit(False)))
-    live = fixed(live.select("doc_id", "low", "high", "core", "u1", "u2", "whole"), "live-cells")
+    live = fixed(live.select("doc_id", "start", "low", "high", "core", "u1", "u2", "whole"), "live-cells")
     mixed = live.where("NOT whole")
     # A window of an open cell may be repeated inside repeated cells: one of each kind stands for all.
     met = live.where("whole").join(mixed.select("core").distinct(), "core")
-    stand = met.groupBy("core", "u1", "u2").agg(F.min(F.struct("doc_id", "low", "high")).alias("c")).select("c.*")
+    part = F.col("low") - F.col("start"), F.col("high") - F.col("start")  # cells of two anchors may coincide
+    stand = met.groupBy("core", "u1", "u2", *part).agg(F.min(F.struct("doc_id", "low", "high")).alias("c")).select("c.*")
     opened = mixed.select("doc_id", "low", "high").unionByName(stand)
     open_cells = opened.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     single = fixed(windows(held.select("doc_id", "text").join(open_cells, "doc_id"), length), "windows")
     twice = single.join(repeated(single, "w1", "w2"), ["w1", "w2"])
 
-    spans = spans_of(live.where("whole"), "low", F.col("high") + length).unionByName(spans_of(twice, "start", F.col("start") + length))
-    by_doc = spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
-    changed = removed(held.select("doc_id", "text").join(by_doc, "doc_id")).dropDuplicates(["doc_id"])
+    late = live.where("whole").select("doc_id", F.col("low"), (F.col("high") + length).alias("high"))
+    late = late.unionByName(twice.select("doc_id", F.col("start").alias("low"), (F.col("start") + length).alias("high")))
+    late = late.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("late"))
+    spans = F.concat("spans", F.coalesce("late", F.array().cast("array<struct<low:bigint,high:bigint>>")))
+    gone = held.join(late, "doc_id", "left").select("doc_id", "text", spans.alias("spans")).where("size(spans) > 0")
+    changed = removed(gone).dropDuplicates(["doc_id"])
     result = anchored.select("doc_id", "n_bytes", "digest").join(changed, "doc_id", "left")
     return result.select(
         "doc_id",
