@@ -32,7 +32,7 @@ from isohour.llm.common import slices
 
 LONG = 256
 GROUP = 50_000  # pieces of one recursive query
-REMEMBERED = 300_000  # chunks whose ids a worker keeps
+REMEMBERED = 700_000  # chunks whose ids a worker keeps
 BATCH_BYTES = 4 << 20
 
 #: White space as the patterns of rank files see it.
@@ -76,7 +76,7 @@ class Bpe:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, tuple[np.ndarray, str, bytes]] = {}
+        self.known: dict[str, tuple[bytes, str, bytes]] = {}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         merges = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
@@ -141,10 +141,10 @@ class Bpe:
         pieces = self.ids_of({piece for parts in cut for piece in parts})
         ids = [np.array([i for piece in parts for i in pieces[piece]], np.int32) for parts in cut]
         for chunk, own, raw in zip(chunk_list, ids, self.decode(ids)):
-            self.known[chunk] = (own, ",".join(map(str, own.tolist())), raw)
+            self.known[chunk] = (own.tobytes(), ",".join(map(str, own.tolist())), raw)
 
-    def chunks(self, texts: Iterable[str | None]) -> list[list[tuple[np.ndarray, str, bytes]]]:
-        """Each text as a list of chunks: their ids, the ids as text, the bytes decoded from the ids."""
+    def chunks(self, texts: Iterable[str | None]) -> list[list[tuple[bytes, str, bytes]]]:
+        """Each text as a list of chunks: their ids as int32 bytes, as text, and the bytes decoded from them."""
         cut = [CHUNK.findall(text) if text else [] for text in texts]
         wanted = {chunk for chunks in cut for chunk in chunks}
         new = wanted.difference(self.known)
@@ -156,8 +156,7 @@ class Bpe:
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
-        none = np.zeros(0, np.int32)
-        return [np.concatenate([none, *(ids for ids, _, _ in chunks)]) for chunks in self.chunks(texts)]
+        return [np.frombuffer(b"".join([ids for ids, _, _ in chunks]), np.int32) for chunks in self.chunks(texts)]
 
     def decode(self, documents: list[np.ndarray]) -> list[bytes]:
         """Bytes of each list of ids."""
@@ -217,7 +216,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in slices(batches, "text", BATCH_BYTES):
             n, ids, raw = [], [], []
             for chunks in coder.chunks(batch.column(1).to_pylist()):
-                n.append(sum(len(own) for own, _, _ in chunks))
+                n.append(sum([len(own) for own, _, _ in chunks]) // 4)
                 ids.append(hashlib.sha256(",".join([text for _, text, _ in chunks]).encode()).hexdigest())
                 raw.append(hashlib.sha256(b"".join([part for _, _, part in chunks])).hexdigest())
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())]
