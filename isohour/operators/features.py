@@ -10,10 +10,8 @@ from pyspark.sql.window import WindowSpec
 
 from isohour.functions.measures import rained, trailing_mean
 from isohour.functions.times import calendar, month_key
-from isohour.operators.running import longest_series, over_trailing_rows, over_whole_series
+from isohour.operators.running import over_trailing_rows
 
-# A series of up to this many rows (57 years of hours) is windowed in one task.
-WHOLE_SERIES_ROWS = 500_000
 CHUNK_ROWS = 8192
 
 
@@ -88,13 +86,11 @@ def with_trails(
     lags: bool = True,
     means: bool = True,
     chunk_rows: int | None = None,
-    whole_series_rows: int = WHOLE_SERIES_ROWS,
 ) -> DataFrame:
     """Add lag and mean columns. ``df`` holds one row per (series, ts).
 
-    One plain window takes a single shuffle but puts a series into one task, so the longest
-    series is counted first. Beyond ``whole_series_rows`` series are cut into chunks, which
-    gives the same rows with one more shuffle. ``chunk_rows`` sets the cut and skips the count.
+    Series are cut into chunks of ``chunk_rows`` rows (8192 if not given) that carry the rows before them along, so a
+    series of any length is spread over tasks. Nothing is counted beforehand.
     """
 
     def columns(window: WindowSpec) -> Mapping[str, Column]:
@@ -105,15 +101,11 @@ def with_trails(
             made |= mean_columns(trails, window, scale)
         return made
 
-    if chunk_rows is None:
-        if longest_series(df, [series]) <= whole_series_rows:
-            return over_whole_series(df, columns, ts, [series])
-        chunk_rows = CHUNK_ROWS
     reach = max(
         [n for t in trails for n in t.lags if lags] + [n for t in trails for n in t.means if means]
     )
     return over_trailing_rows(
-        df, columns, reach, ts, month_key(F.col(ts)), [series], max(chunk_rows, reach)
+        df, columns, reach, ts, month_key(F.col(ts)), [series], max(chunk_rows or CHUNK_ROWS, reach)
     )
 
 

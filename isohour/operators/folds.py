@@ -15,7 +15,7 @@ def hour_blocks(df: DataFrame, ts: str = "timestamp", folds: int = 5) -> DataFra
     0 the rest, which is only trained on. An hour falls into the block of its first row, so no
     hour is split between training and test.
     """
-    hours = df.groupBy(ts).agg(F.count("*").alias("rows"))
+    hours = df.where(F.col(ts).isNotNull()).groupBy(ts).agg(F.count("*").alias("rows"))
     placed = running_totals(
         hours, {"before": F.col("rows")}, [ts], month_key(F.col(ts)), totals=True
     )
@@ -40,14 +40,14 @@ def block_starts(df: DataFrame, ts: str = "timestamp", folds: int = 5) -> DataFr
 
 def with_block(df: DataFrame, ts: str = "timestamp", folds: int = 5) -> DataFrame:
     """Add ``block`` to every row. The five boundaries reach the rows as one scalar subquery, so
-    the rows are not shuffled."""
+    the rows are not shuffled. Rows without a time belong to no block."""
     starts = block_starts(df, ts, folds)
     packed = starts.select(F.struct(*starts.columns)).scalar()
     block: Column = F.lit(0)
     for i in range(1, folds + 1):
         reached = F.col(ts) >= packed.getField(f"start_{i}")
         block = block + F.coalesce(reached.cast("int"), F.lit(0))
-    return df.withColumn("block", block)
+    return df.withColumn("block", F.when(F.col(ts).isNotNull(), block))
 
 
 def split(blocked: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:

@@ -37,7 +37,8 @@ STATE = ("temperature", "precipitation", "humidity", "pressure")
 def recent_history(
     df: DataFrame, as_of: str | Column, days: int = HISTORY_DAYS, ts: str = "timestamp"
 ) -> DataFrame:
-    return since(df, ts, days_before(instant(as_of), days))
+    """The days before ``as_of``, and nothing after it."""
+    return since(df, ts, days_before(instant(as_of), days), instant(as_of))
 
 
 def series_snapshot(

@@ -15,16 +15,16 @@ def with_geography(observations: DataFrame, city: DataFrame, country: DataFrame)
     """Left joins fact -> city -> country; an unknown city leaves NULLs.
 
     No broadcast hint: Spark broadcasts a dimension when its size is known to be under
-    ``autoBroadcastJoinThreshold``; beyond it adaptive execution splits a skewed city.
+    ``autoBroadcastJoinThreshold``; beyond it adaptive execution splits a skewed city. The joins
+    are chained, since a join of both dimensions first would be estimated at the product of
+    their sizes, and the fact table shuffled for it.
     """
-    places = city.join(country, "country_id", "left").select(
-        "city_id",
-        F.col("city_name").alias("city"),
-        "longitude",
-        "latitude",
-        F.col("country_name").alias("country"),
+    cities = city.select(
+        "city_id", F.col("city_name").alias("city"), "longitude", "latitude", "country_id"
     )
-    return observations.join(places, "city_id", "left")
+    countries = country.select("country_id", F.col("country_name").alias("country"))
+    placed = observations.join(cities, "city_id", "left")
+    return placed.join(countries, "country_id", "left").drop("country_id")
 
 
 def hourly_mart(

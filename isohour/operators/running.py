@@ -98,24 +98,6 @@ def over_trailing_rows(
     )
 
 
-def over_whole_series(
-    df: DataFrame,
-    columns: Callable[[WindowSpec], Mapping[str, Column]],
-    order: str,
-    by: Sequence[str],
-) -> DataFrame:
-    """The same columns by one plain window: one shuffle, one task per series."""
-    window = Window.partitionBy(*by).orderBy(order)
-    known = df.where(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in by)))
-    return known.withColumns(dict(columns(window)))
-
-
-def longest_series(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows of the longest series: one number, counted with partial aggregation."""
-    counts = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    return counts.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
-
-
 def tail_rows(
     df: DataFrame, rows: int, order: str, bucket: Column, by: Sequence[str]
 ) -> DataFrame:

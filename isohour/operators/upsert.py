@@ -52,10 +52,11 @@ def carry_first_seen(
     )
 
 
-def folders_of(batch: DataFrame, ts: str, grain: str = "month") -> list[int]:
-    """The folders a batch touches: one number per calendar month or day."""
+def folders_of(batch: DataFrame, ts: str, grain: str = "month") -> list[int | None]:
+    """The folders a batch touches: one number per calendar month or day, None for rows without a
+    time."""
     rows = batch.select(tables.folder_key(F.col(ts), grain).alias("folder")).distinct().collect()
-    return sorted(r.folder for r in rows)
+    return sorted((r.folder for r in rows), key=lambda f: (f is not None, f or 0))
 
 
 def upsert(
@@ -70,7 +71,7 @@ def upsert(
     keep_copy: bool = True,
     grain: str = "month",
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = replace_keys,
-) -> list[int]:
+) -> list[int | None]:
     """Apply a batch to the Parquet table at ``path``; returns the folders written.
 
     Only the months or days the batch touches are read and rewritten; ``grain`` sets the layout
@@ -80,6 +81,9 @@ def upsert(
     swapped, they can be restored with ``tables.write_table(copy, path, ts, keys, "folders")``.
     Without it that write is saved.
 
+    Rows without a time share a folder and are kept or replaced by key like others. A full refresh
+    with an empty batch leaves an empty table.
+
     With ``as_of`` the audit column ``ingestion_ts`` is carried over from the target.
     """
     batch = materialise(batch, "batch")
@@ -88,6 +92,8 @@ def upsert(
         grain = tables.grain_of(target)
     folders = folders_of(batch, ts, grain)
     if not folders:
+        if full_refresh:
+            tables.write_table(batch, path, ts, keys, "overwrite", grain)
         return []
     if target is None:
         if as_of is not None:

@@ -34,7 +34,7 @@ class Warehouse:
     """Paths of the tables under one root; ``grain`` is how finely new tables are laid out."""
 
     root: str
-    grain: str = "month"
+    grain: str = "day"
 
     def __getattr__(self, name: str) -> str:
         if name.startswith("_"):
@@ -49,21 +49,22 @@ def ingest(
     as_of: str,
     *,
     archive: bool = False,
+    whole_files: bool = False,
     pipeline: str = "weather_hourly_ingestion",
 ) -> tuple[int, int]:
     """Load a landing folder into a raw table; returns rows loaded and documents refused.
 
     The archive load keeps every hour; the live load drops hours after ``as_of``.
     """
-    documents = payload.landed(spark, landing)
-    rows = payload.to_rows(payload.parse(documents), as_of)
+    parsed = materialise(payload.parse(payload.landed(spark, landing, whole_files)), "parsed")
+    rows = payload.to_rows(parsed, as_of)
     if not archive:
         rows = payload.drop_future(rows, as_of)
     rows = materialise(rows, "rows")
     raw = house.raw_weather_2years if archive else house.raw_weather_hourly
     tables.append_raw(rows, raw, grain=house.grain)
     refused = materialise(
-        payload.quarantined(payload.parse(documents)).withColumn("refused_at", instant(as_of)),
+        payload.quarantined(parsed).withColumn("refused_at", instant(as_of)),
         "refused",
     )
     refused.write.mode("append").parquet(house.quarantine)
@@ -72,13 +73,19 @@ def ingest(
     return rows.count(), refused.count()
 
 
+def until(df: DataFrame, ts: str, as_of: str) -> DataFrame:
+    """Rows up to ``as_of``, so that a run for a past instant can be repeated; rows without a
+    time stay."""
+    return df.where(F.col(ts).isNull() | (F.col(ts) <= instant(as_of)))
+
+
 def observation_batch(
     sources: list[DataFrame], as_of: str, lookback_days: int | None
 ) -> DataFrame:
     """Union of the raw sources, the look-back, keep-latest, keys and recompute time."""
     if lookback_days is not None:
         start = days_before(instant(as_of), lookback_days)
-        sources = [since(df, "timestamp", start) for df in sources]
+        sources = [since(df, "timestamp", start, instant(as_of)) for df in sources]
     stages = [staged(df) for df in sources]
     rows = stages[0]
     for other in stages[1:]:
@@ -127,10 +134,11 @@ def refresh_marts(
     )
     for path, days, keys in marts:
         incremental = not full_refresh and tables.read(spark, path) is not None
-        rows = observations
         if incremental:
             start = days_before(instant(as_of), days, snap_to_day=True)
-            rows = since(observations, "timestamp", start)
+            rows = since(observations, "timestamp", start, instant(as_of))
+        else:
+            rows = until(observations, "timestamp", as_of)
         if path == house.mart_weather_hourly:
             batch = hourly_mart(rows, city, country, as_of)
         else:

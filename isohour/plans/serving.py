@@ -38,12 +38,12 @@ def forecast(
     as_of: str,
     horizon: int = fc.HORIZON,
     history_days: int = fc.HISTORY_DAYS,
-    needed_rows: int = fc.NEEDED_ROWS,
+    needed_rows: int = 1,
     checkpoint_every: int = 6,
 ) -> Forecast:
-    """Forecast every city with ``needed_rows`` of history; the others are listed in ``skipped``.
+    """Forecast every city; those with less than ``needed_rows`` of history are listed in ``skipped``.
 
-    With fewer needed rows the trees see missing long lags, which they send down one branch.
+    The trees see missing long lags of short series and send them down one branch.
     ``history_days`` above the default makes up for gaps.
     """
     state = materialise(serving_state(mart_hourly, as_of, history_days), "state")

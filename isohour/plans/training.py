@@ -31,6 +31,11 @@ class Trained:
         return PipelineModel([*self.regressor.stages, self.classifier.stages[-1]])
 
 
+def until(mart_hourly: DataFrame, as_of: str) -> DataFrame:
+    """Rows known at ``as_of``, so that a training run can be repeated."""
+    return mart_hourly.where(F.col("observation_timestamp") <= instant(as_of))
+
+
 def training_rows(
     mart_hourly: DataFrame, features: FeatureSet = PRODUCTION, scale: int | None = None
 ) -> DataFrame:
@@ -104,7 +109,7 @@ def train(
     """Fit both models on all rows. The in-sample metrics only show that training worked."""
     columns = features.columns()
     rows = materialise(
-        training_rows(mart_hourly, features)
+        training_rows(until(mart_hourly, as_of), features)
         .where(F.col("temperature").isNotNull())
         .select("city", "timestamp", "temperature", F.col("rained").cast("double"), *columns),
         "training",

@@ -44,10 +44,12 @@ def folder_key(ts: Column, grain: str) -> Column:
     return day_key(ts) if grain == "day" else month_key(ts)
 
 
-def in_folders(table: DataFrame, keys: Sequence[int]) -> DataFrame:
-    """Rows of the given folders; other folders are not read."""
+def in_folders(table: DataFrame, keys: Sequence[int | None]) -> DataFrame:
+    """Rows of the given folders; other folders are not read. None names the folder of rows
+    without a time."""
     folder = F.col("ym") if grain_of(table) == "month" else F.col("ym") * 100 + F.col("day")
-    return table.where(folder.isin(list(keys)))
+    found = folder.isin([k for k in keys if k is not None])
+    return table.where(found | folder.isNull() if None in keys else found)
 
 
 def laid_out(df: DataFrame, ts: str, order: Sequence[str], grain: str = "month") -> DataFrame:

@@ -142,7 +142,7 @@ def upsert_into(
     keys: Sequence[str],
     ts: str,
     latest: str | None = None,
-    grain: str = "month",
+    grain: str = "day",
 ) -> StreamingQuery:
     """Upsert each micro-batch into a stored table; replays change nothing.
 

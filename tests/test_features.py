@@ -82,14 +82,12 @@ def test_a_long_series_is_spread_over_chunks(spark):
     assert "_chunk" in text and window_rows.count() == df.count()
 
 
-def test_series_beyond_the_limit_are_cut(spark):
+def test_series_are_always_cut(spark):
     df = gappy(spark, cities=2)
-    whole, cut = (
-        ft.with_trails(df, (ft.HUMIDITY,), whole_series_rows=n) for n in (10_000, 100)
-    )
+    cut = ft.with_trails(df, (ft.HUMIDITY,))
     assert "_chunk" in cut._jdf.queryExecution().toString()
-    assert "_chunk" not in whole._jdf.queryExecution().toString()
-    assert rows_of(whole, *whole.columns) == rows_of(cut, *whole.columns)
+    short = ft.with_trails(df, (ft.HUMIDITY,), chunk_rows=100)
+    assert rows_of(cut, *cut.columns) == rows_of(short, *cut.columns)
 
 
 def test_rows_of_an_unknown_series_are_dropped(spark):
