@@ -105,9 +105,9 @@ def votes() -> dict[str, Column]:
         "word_length": vote(size.between(3, 12), (size < 2) | (size > 16)),
         "symbols": vote(symbols < 0.02, symbols > 0.2),
         "capitals": vote(upper.between(0.001, 0.2), upper > 0.5),
-        "repeats": vote(False, repeats > 0.12),
-        "copied_lines": vote(False, copies > 0.3),
-        "length": vote(F.col("n_words") >= 50, F.col("n_words") < 12),
+        "repeats": vote(False, repeats > 0.16),
+        "copied_lines": vote(False, copies > 0.4),
+        "length": vote(F.col("n_words") >= 50, F.lit(False)),
         "variety": vote(variety > 0.3, variety < 0.05),
     }
 
@@ -136,12 +136,15 @@ class Weights:
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rules: list[str], rounds: int = 30) -> Weights:
     """Expectation-maximisation over vote patterns and how often each occurs.
 
-    A document starts as probably bad if any rule says so. Probabilities are smoothed, and a vote
-    never counts against what it says: a good vote adds no negative, a bad vote no positive odds.
+    A document starts as probably bad if any rule says so, and this start keeps half the weight in every
+    round: without it the two classes drift to whatever splits the votes best, such as long and
+    short. Probabilities are smoothed, and a vote never counts against what it says: a good vote adds no
+    negative, a bad vote no positive odds.
     """
     total = sum(n for _, n in patterns)
     said = [(dict(zip(rules, pattern)), n) for pattern, n in patterns]
-    good = [0.1 if -1 in pattern else 0.95 for pattern, _ in patterns]
+    start = [0.1 if -1 in pattern else 0.95 for pattern, _ in patterns]
+    good = start
     weights = Weights(math.log(9), {r: {-1: -2.0, 0: 0.0, 1: 0.5} for r in rules})
     for _ in range(rounds if total else 0):
         share = [[(1 - p) * n for p, (_, n) in zip(good, said)], [p * n for p, (_, n) in zip(good, said)]]
@@ -155,7 +158,8 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rules: list[str], roun
             ]
             odds = {v: math.log(chance[1][v] / chance[0][v]) for v in VOTES}
             weights.added[rule] = {-1: min(odds[-1], 0.0), 0: odds[0], 1: max(odds[1], 0.0)}
-        good = [1 / (1 + math.exp(-max(-500.0, min(500.0, weights.of(pattern))))) for pattern, _ in said]
+        posterior = [1 / (1 + math.exp(-max(-500.0, min(500.0, weights.of(pattern))))) for pattern, _ in said]
+        good = [(s + p) / 2 for s, p in zip(start, posterior)]
     return weights
 
 
