@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -60,11 +61,11 @@ WITH RECURSIVE state(step, w, p, np, t, nt) AS (
   SELECT * FROM pieces UNION ALL {STEP.format(rows="state")}
 )
 SELECT w, list(t ORDER BY p) AS ids
-FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step) GROUP BY w
+FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step) GROUP BY w ORDER BY w
 """
 DECODE = """
 SELECT doc, string_agg(hex(bytes), '' ORDER BY pos) AS hexed
-FROM ids JOIN vocabulary USING (id) GROUP BY doc
+FROM ids JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 """
 
 
@@ -95,8 +96,8 @@ class Bpe:
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM arriving")
         self.db.unregister("arriving")
 
-    def contract(self, pieces: list[bytes]) -> list[list[int]]:
-        """Token ids of each piece."""
+    def contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all pieces, one after the other, and the border of each piece among them."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ends = np.cumsum(sizes)
         tokens = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
@@ -116,32 +117,40 @@ class Bpe:
                 ended = "SELECT w, list(t ORDER BY p) AS ids FROM pieces WHERE w NOT IN (SELECT w FROM stepped) GROUP BY w"
                 done.append(self.db.sql(ended).to_arrow_table())
                 self.db.execute("CREATE OR REPLACE TEMP TABLE pieces AS SELECT * FROM stepped")
-            found = pa.concat_tables(done)
-        by_piece = dict(zip(found.column("w").to_pylist(), found.column("ids").to_pylist()))
-        return [by_piece[w] for w in range(len(pieces))]
-
-    def ids_of(self, pieces: set[str]) -> dict[str, list[int]]:
-        """Ids of distinct pieces: those that are tokens by look-up, the others contracted."""
-        found: dict[str, list[int]] = {}
-        short, long = [], []
+            found = pa.concat_tables(done).sort_by("w")
+        ids = found.column("ids").combine_chunks()
+        return ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
+
+    def entries(self, flat: np.ndarray, borders: np.ndarray) -> Iterator[tuple[bytes, str, bytes]]:
+        """Per list of ids: them as int32 bytes, as text, and the bytes decoded from them."""
+        raw, raw_borders = self.decoded(flat, borders)
+        own, texts = flat.astype(np.int32).tobytes(), list(map(str, flat.tolist()))
+        spans = zip(borders.tolist(), borders[1:].tolist(), raw_borders.tolist(), raw_borders[1:].tolist())
+        for start, end, raw_start, raw_end in spans:
+            yield own[4 * start : 4 * end], ",".join(texts[start:end]), raw[raw_start:raw_end]
+
+    def entries_of(self, pieces: set[str]) -> dict[str, tuple[bytes, str, bytes]]:
+        """Entries of distinct pieces: those that are tokens by look-up, the others contracted."""
+        tokens, short, long = [], [], []
         for piece in pieces:
             raw = piece.encode()
-            if raw in self.ranks:
-                found[piece] = [self.ranks[raw]]
-            else:
-                (short if len(raw) <= LONG else long).append(piece)
+            (tokens if raw in self.ranks else short if len(raw) <= LONG else long).append((piece, raw))
+        ids = np.array([self.ranks[raw] for _, raw in tokens], np.int32)
+        found = dict(zip([piece for piece, _ in tokens], self.entries(ids, np.arange(len(ids) + 1))))
         for some in [short[i : i + GROUP] for i in range(0, len(short), GROUP)] + [[piece] for piece in long]:
-            found.update(zip(some, self.contract([piece.encode() for piece in some])))
+            found.update(zip([piece for piece, _ in some], self.entries(*self.contract([raw for _, raw in some]))))
         return found
 
     def learn(self, chunks: set[str]) -> None:
         """Make ids, their text and the bytes they decode to known for these chunks."""
-        chunk_list = list(chunks)
-        cut = [self.pattern.findall(chunk) for chunk in chunk_list]
-        pieces = self.ids_of({piece for parts in cut for piece in parts})
-        ids = [np.array([i for piece in parts for i in pieces[piece]], np.int32) for parts in cut]
-        for chunk, own, raw in zip(chunk_list, ids, self.decode(ids)):
-            self.known[chunk] = (own.tobytes(), ",".join(map(str, own.tolist())), raw)
+        cut = {chunk: self.pattern.findall(chunk) for chunk in chunks}
+        pieces = self.entries_of({piece for parts in cut.values() for piece in parts})
+        for chunk, parts in cut.items():
+            if len(parts) == 1:
+                self.known[chunk] = pieces[parts[0]]
+            else:
+                ids, texts, raw = zip(*[pieces[piece] for piece in parts])
+                self.known[chunk] = b"".join(ids), ",".join(texts), b"".join(raw)
 
     def chunks(self, texts: Iterable[str | None]) -> list[list[tuple[bytes, str, bytes]]]:
         """Each text as a list of chunks: their ids as int32 bytes, as text, and the bytes decoded from them."""
@@ -158,14 +167,20 @@ class Bpe:
         """Ids of each text."""
         return [np.frombuffer(b"".join([ids for ids, _, _ in chunks]), np.int32) for chunks in self.chunks(texts)]
 
+    def decoded(self, flat: np.ndarray, borders: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Bytes of lists of ids, one after the other, and the border of each among them."""
+        doc = np.repeat(np.arange(len(borders) - 1, dtype=np.int32), np.diff(borders))
+        self.load("ids", pa.table({"doc": doc, "pos": np.arange(len(flat), dtype=np.int64), "id": flat}))
+        found = self.db.sql(DECODE).to_arrow_table()
+        sizes = np.zeros(len(borders) - 1, np.int64)
+        sizes[found.column("doc").to_numpy()] = pa.compute.binary_length(found.column("hexed")).to_numpy() // 2
+        return bytes.fromhex("".join(found.column("hexed").to_pylist())), np.concatenate([[0], np.cumsum(sizes)])
+
     def decode(self, documents: list[np.ndarray]) -> list[bytes]:
         """Bytes of each list of ids."""
-        sizes = np.fromiter(map(len, documents), np.int64, len(documents))
-        ids = np.concatenate([np.zeros(0, np.int32), *documents])
-        doc = np.repeat(np.arange(len(documents), dtype=np.int32), sizes)
-        self.load("ids", pa.table({"doc": doc, "pos": np.arange(len(ids), dtype=np.int64), "id": ids}))
-        found = dict(self.db.sql(DECODE).fetchall())
-        return [bytes.fromhex(found.get(d, "")) for d in range(len(documents))]
+        flat = np.concatenate([np.zeros(0, np.int32), *documents])
+        raw, borders = self.decoded(flat, np.cumsum([0, *map(len, documents)]))
+        return [raw[start:end] for start, end in zip(borders.tolist(), borders[1:].tolist())]
 
 
 _loaded: dict[tuple[str, str], Bpe] = {}
