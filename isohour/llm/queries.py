@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isohour.llm import bpe, packing, pages, passages, quality, quotes, rules, setsketch, urls, vectors
+from isohour.llm import bpe, packing, pages, passages, quality, quotes, rules, setsketch, twins, urls, vectors
 from isohour.llm.common import workers_import
 from isohour.plans.catalogue.registry import Register
 
@@ -41,12 +41,12 @@ def op4_order_preserving_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
 
-@register()
+@register(twins.NEAR_DUPLICATES)
 def op5_setsketch_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, folder, "documents"))
 
 
-@register()
+@register(twins.NEAR_VECTORS)
 def op6_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -56,7 +56,7 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(table(spark, folder, "pages"))
 
 
-@register()
+@register(twins.REPEATED_PASSAGES)
 def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.deduplicate(table(spark, folder, "documents"))
 
