@@ -64,18 +64,19 @@ def stream_without_repeats(spark: SparkSession, folder: str) -> DataFrame:
 @register(
     with_tables(
         f"""
-SELECT city_id, "timestamp", ingestion_ts, event_id, {MEASURE_LIST} FROM latest
-WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM obs) - INTERVAL 2 DAY"""
+SELECT city_id, "timestamp", ingestion_ts, event_id, {MEASURE_LIST} FROM latest"""
     )
 )
 def stream_latest_per_hour(spark: SparkSession, folder: str) -> DataFrame:
-    """Keep-latest; hours within the allowed lateness of the end are not final yet."""
+    """Keep-latest by state, each changed hour upserted."""
     root = scratch_path(spark, "stream")
     rows = live.latest_per_hour(
         _timed(spark, folder), ("event_id", *MEASURES), tie_break=("event_id",)
     )
-    live.append_to(rows, f"{root}/out", f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    live.upsert_into(
+        rows, f"{root}/out", f"{root}/state", ("city_id", "timestamp"), "timestamp", "ingestion_ts"
+    ).awaitTermination()
+    return without_folders(spark.read.parquet(f"{root}/out"))
 
 
 @register(
@@ -86,15 +87,18 @@ SELECT CAST("timestamp" AS DATE) AS observation_date, city_id, count(*) AS rows,
        max(temperature) AS max_temperature,
        CAST(sum(CAST(precipitation AS DECIMAL(18,2))) AS DOUBLE) AS total_precipitation,
        count(*) FILTER (WHERE precipitation > 0) AS rainy_hours
-FROM obs GROUP BY 1, 2"""
+FROM latest GROUP BY 1, 2"""
     )
 )
 def stream_daily_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily aggregates in update mode, upserted into a stored table."""
+    """Raw rows to the latest ones, and those of touched days to daily totals."""
     root = scratch_path(spark, "stream")
-    rows = live.daily_totals(_timed(spark, folder), scale=DIGITS)
-    live.upsert_into(
-        rows, f"{root}/out", f"{root}/state", ("city_id", "observation_date"), "observation_date"
+    live.daily_into(
+        observed(_events(spark, folder)),
+        f"{root}/latest",
+        f"{root}/out",
+        f"{root}/state",
+        scale=DIGITS,
     ).awaitTermination()
     return without_folders(spark.read.parquet(f"{root}/out"))
 

@@ -63,10 +63,7 @@ def ingest(
     rows = materialise(rows, "rows")
     raw = house.raw_weather_2years if archive else house.raw_weather_hourly
     tables.append_raw(rows, raw, grain=house.grain)
-    refused = materialise(
-        payload.quarantined(parsed).withColumn("refused_at", instant(as_of)),
-        "refused",
-    )
+    refused = materialise(payload.quarantined(parsed, as_of), "refused")
     refused.write.mode("append").parquet(house.quarantine)
     if not archive:
         state.record(rows, house.ingestion_state, pipeline, as_of)

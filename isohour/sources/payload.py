@@ -64,11 +64,15 @@ def sound(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull())
 
 
-def quarantined(parsed: DataFrame) -> DataFrame:
-    """The refused documents, whole, with the reason; a re-run may read them again."""
-    return parsed.where(F.col("reason").isNotNull()).select(
+def quarantined(parsed: DataFrame, refused_at: str | Column | None = None) -> DataFrame:
+    """The refused documents, whole, with the reason; a re-run may read them again.
+
+    Jobs and streams pass ``refused_at``, so that they share one quarantine table.
+    """
+    refused = parsed.where(F.col("reason").isNotNull()).select(
         *[c for c in ("source_file", "series", "reason", "body") if c in parsed.columns]
     )
+    return refused if refused_at is None else refused.withColumn("refused_at", instant(refused_at))
 
 
 def to_rows(parsed: DataFrame, loaded_at: str | Column) -> DataFrame:

@@ -5,14 +5,14 @@ Event time is TIMESTAMP here, as watermarks demand, with the session zone set to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from isohour.functions.measures import mean, total
 from isohour.operators.dedup import keep_latest
-from isohour.operators.upsert import merge_latest, replace_keys, upsert
+from isohour.operators.upsert import merge_latest, upsert
 from isohour.sources import payload, tables
 
 LATENESS = "2 days"
@@ -25,7 +25,7 @@ def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .text(path)
-        .withColumnRenamed("value", "body")
+        .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("source_file"))
     )
 
 
@@ -63,7 +63,11 @@ def latest_per_hour(
     latest: str = "ingestion_ts",
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Keep-latest per (series, hour); an hour is final once the watermark has passed it."""
+    """Keep-latest per (series, hour).
+
+    With :func:`upsert_into` every hour is stored at once and corrected later; with
+    :func:`append_to` an hour comes out when it is final, that is, when the watermark has passed it.
+    """
     order = F.struct(latest, *(tie_break or columns))
     return (
         rows.groupBy(series, F.window(ts, "1 hour").alias("_w"))
@@ -75,7 +79,8 @@ def latest_per_hour(
 def daily_totals(
     rows: DataFrame, series: str = "city_id", ts: str = "timestamp", scale: int | None = None
 ) -> DataFrame:
-    """Tumbling daily aggregates per series."""
+    """Tumbling daily aggregates per series, of rows that are one per hour already; rows without a
+    time belong to no day."""
     t, rain = F.col("temperature"), F.col("precipitation")
     return (
         rows.groupBy(F.window(ts, "1 day").alias("_w"), series)
@@ -112,7 +117,7 @@ def ingest_payloads(
         parsed = payload.parse(batch).persist()
         rows = payload.drop_future(payload.to_rows(parsed, as_of), as_of)
         tables.append_raw(rows, raw)
-        payload.quarantined(parsed).write.mode("append").parquet(quarantine)
+        payload.quarantined(parsed, as_of).write.mode("append").parquet(quarantine)
         parsed.unpersist()
 
     return (
@@ -150,16 +155,58 @@ def upsert_into(
     right for aggregates in update mode.
     """
 
-    def merge(target: DataFrame, batch: DataFrame, by: Sequence[str]) -> DataFrame:
+    def load(batch: DataFrame, _: int) -> None:
         if latest is None:
-            return replace_keys(target, batch, by)
-        return merge_latest(target, batch, by, latest)
+            upsert(batch.sparkSession, path, batch, keys, ts, grain=grain)
+        else:
+            upsert_latest(path, batch, keys, ts, latest, grain)
+
+    return by_batch(rows, load, checkpoint)
+
+
+def upsert_latest(
+    path: str, batch: DataFrame, keys: Sequence[str], ts: str, latest: str, grain: str = "day"
+) -> list[int | None]:
+    """The later row of table and batch stays, per key; returns the folders written."""
+
+    def merge(target: DataFrame, newer: DataFrame, by: Sequence[str]) -> DataFrame:
+        return merge_latest(target, newer, by, latest)
+
+    rows = keep_latest(batch, keys, latest)
+    return upsert(batch.sparkSession, path, rows, keys, ts, grain=grain, merge=merge)
+
+
+def daily_into(
+    rows: DataFrame,
+    observations: str,
+    daily: str,
+    checkpoint: str,
+    series: str = "city_id",
+    ts: str = "timestamp",
+    latest: str = "ingestion_ts",
+    scale: int | None = None,
+) -> StreamingQuery:
+    """Raw rows to an observation table and its daily totals.
+
+    Each micro-batch is upserted into the observations, latest row first, and the days it touched
+    are then computed anew from what is stored. So an hour that is pulled again counts once, a late
+    correction reaches its day however old it is, and a replayed batch changes nothing.
+    """
 
     def load(batch: DataFrame, _: int) -> None:
-        if latest is not None:
-            batch = keep_latest(batch, keys, latest)
-        upsert(batch.sparkSession, path, batch, keys, ts, grain=grain, merge=merge)
+        spark = batch.sparkSession
+        touched = upsert_latest(observations, batch, (series, ts), ts, latest)
+        stored = tables.read(spark, observations) if touched else None
+        if stored is not None:
+            totals = daily_totals(tables.in_folders(stored, touched), series, ts, scale)
+            upsert(spark, daily, totals, (series, "observation_date"), "observation_date", grain="day")
+
+    return by_batch(rows, load, checkpoint)
 
+
+def by_batch(
+    rows: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str
+) -> StreamingQuery:
     return (
         rows.writeStream.outputMode("update")
         .foreachBatch(load)

@@ -86,15 +86,17 @@ def test_repeats_are_dropped_across_batches(spark, spread):
 def test_daily_totals_are_updated(spark):
     root = scratch_path(spark, "daily")
     add(spark, f"{root}/in", [])
-    rows = live.daily_totals(live.with_event_time(stream_of(spark, f"{root}/in")), scale=1)
+    rows = stream_of(spark, f"{root}/in")
     for more, want in (
         ([(0, 1, 1.0, 1), (5, 1, 3.0, 1)], [(at(0).date(), 2, 2.0)]),
         ([(6, 1, 5.0, 1), (30, 1, 9.0, 1)], [(at(0).date(), 3, 3.0), (at(24).date(), 1, 9.0)]),
+        # hours pulled again count once, an older pull changes nothing, a late correction counts
+        ([(6, 1, 5.0, 2), (6, 1, 8.0, 0), (30, 1, 9.0, 1)], [(at(0).date(), 3, 3.0), (at(24).date(), 1, 9.0)]),
+        ([(24 * 40, 1, 0.0, 1)], [(at(0).date(), 3, 3.0), (at(24).date(), 1, 9.0), (at(24 * 40).date(), 1, 0.0)]),
+        ([(0, 1, 4.0, 9)], [(at(0).date(), 3, 4.0), (at(24).date(), 1, 9.0), (at(24 * 40).date(), 1, 0.0)]),
     ):
         add(spark, f"{root}/in", more)
-        live.upsert_into(
-            rows, f"{root}/out", f"{root}/ck", ("city_id", "observation_date"), "observation_date"
-        ).awaitTermination()
+        live.daily_into(rows, f"{root}/latest", f"{root}/out", f"{root}/ck", scale=1).awaitTermination()
         assert rows_of(
             spark.read.parquet(f"{root}/out"), "observation_date", "rows", "avg_temperature"
         ) == want
@@ -109,5 +111,6 @@ def test_payload_stream(spark):
         live.ingest_payloads(
             spark, f"{root}/landing", f"{root}/raw", f"{root}/refused", f"{root}/ck", f"{at(3)}"
         ).awaitTermination()
-        refused = spark.read.schema("reason string").parquet(f"{root}/refused")
+        refused = spark.read.parquet(f"{root}/refused")
+        assert refused.columns == ["source_file", "series", "reason", "body", "refused_at"]
         assert (spark.read.parquet(f"{root}/raw").count(), refused.count()) == want
