@@ -9,6 +9,8 @@ from isohour.llm import packing, passages, quality, rules, setsketch
 from isohour.llm.common import fixed, workers_import
 
 WORD_BPE = "word_bpe_49k.json"
+#: Words of a shingle in the near-duplicate stage; the query op5 has two.
+NEAR_WORDS = 5
 #: Quality classification, near duplicates and whole-text digests have no SQL form; the stages are tested
 #: against brute force instead.
 ORACLE_SQL = None
@@ -32,9 +34,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one of the smallest id."""
+    """One document of each group of near-duplicates by five-word shingles, the one of the smallest id."""
     workers_import(spark)
-    return only(docs, setsketch.near_duplicates(docs).where("kept"))
+    return only(docs, setsketch.near_duplicates(docs, width=NEAR_WORDS).where("kept"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -151,6 +151,22 @@ def test_near_duplicates_equal_brute_force(request, which):
     assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found} == {(k, len(sets[k]), t, t == k) for k, t in tops.items()}
 
 
+def test_pipeline_drops_near_copies_by_five_words_only(spark, docs):
+    words = [f"w{i}" for i in range(200)]
+    loose = [f"changed{i}" if i % 24 == 12 else w for i, w in enumerate(words)]  # 0.85 by two words, 0.66 by five
+    near = [f"changed{i}" if i == 99 else w for i, w in enumerate(words)]
+    made = [(10_000 + k, " ".join(w), "en", "s", 1) for k, w in enumerate((words, loose, near))]
+    rows = docs.unionByName(spark.createDataFrame(made, docs.schema))
+    sets = {}
+    for key, text in pairs_of(rows):
+        found = text.encode().lower().split()
+        sets[key] = {tuple(found[i : i + 5]) for i in range(max(len(found) - 4, 1))} if found else set()
+    links = [(a, b) for a, b in itertools.combinations([k for k in sets if sets[k]], 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    kept = {k for k, t in top_of(links, list(sets)).items() if t == k}
+    assert {10_000, 10_001} <= kept and 10_002 not in kept
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, rows, FOLDER).select("doc_id").collect()} == kept
+
+
 def test_a_chain_of_near_copies_is_one_component(spark, docs):
     words = [f"w{i}" for i in range(200)]
     rows = []
