@@ -26,7 +26,7 @@ from isohour.operators.running import tail_rows
 from isohour.session import shared_folder
 
 # Forecast length in hours, history read in days, rows kept per series, and the
-# history a series needs for its longest lag.
+# history that fills the longest lag.
 HORIZON = 168
 HISTORY_DAYS = 8
 BUFFER_ROWS = 200
@@ -84,9 +84,12 @@ def buffers(
 
 
 def split_by_history(
-    state: DataFrame, measure: str = "temperature", needed: int = NEEDED_ROWS
+    state: DataFrame, measure: str = "temperature", needed: int = 1
 ) -> tuple[DataFrame, DataFrame]:
-    """Series with enough history for the longest lag, and the skipped ones."""
+    """Series with at least ``needed`` rows, by default all of them, and the others.
+
+    ``NEEDED_ROWS`` fill the longest lag; series with less have missing long lags.
+    """
     rows = F.size(measure)
     return state.where(rows >= needed), state.where(rows < needed)
 
@@ -234,8 +237,9 @@ def model_forecast(
     # the expressions are the same at every hour; the hour itself is counted by the predictions
     now = plus_hours(F.col("last_ts"), F.size(out[0]) + 1)
     known = next_hour_features({m: F.col(m) for m in STATE}, features.trails, now)
-    warm = F.col("temperature_prediction")
-    wet = vector_to_array("rain_probability_vector")[1]
+    # a linear model that lacks an input gives NaN
+    warm = F.nullif(F.col("temperature_prediction"), F.lit(float("nan")))
+    wet = F.nullif(vector_to_array("rain_probability_vector")[1], F.lit(float("nan")))
     added = {m: lag_of(F.col(m), 1) for m in STATE} | {"temperature": warm}
     if precip_feedback == "probability":
         added["precipitation"] = wet

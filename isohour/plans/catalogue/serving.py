@@ -154,7 +154,7 @@ FROM rolled WHERE h > 0""",
     )
 )
 def linear_recursive_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    state, _ = fc.split_by_history(_buffers(spark, folder))
+    state = _buffers(spark, folder)
     model = fc.Linear({"lag_1h": 0.5, "lag_24h": 0.25, "lag_168h": 0.25})
     rolled = fc.linear_forecast(state, "city_id", model)
     hours = rolled.select("city_id", "last_ts", F.posexplode("predicted_temperature").alias("h", "t"))
@@ -177,7 +177,8 @@ FROM buffers""",
 )
 def history_split(spark: SparkSession, folder: str) -> DataFrame:
     """Series with a week of history and those skipped for lack of it."""
-    ready, short = fc.split_by_history(fc.buffers(latest(spark, folder, series=97), "city_id"))
+    state = fc.buffers(latest(spark, folder, series=97), "city_id")
+    ready, short = fc.split_by_history(state, needed=fc.NEEDED_ROWS)
     outcome = ready.withColumn("outcome", F.lit("forecast")).unionByName(
         short.withColumn("outcome", F.lit("skipped"))
     )
@@ -226,8 +227,7 @@ def _fitted(spark: SparkSession, folder: str) -> tuple[DataFrame, PipelineModel]
             ),
         ]
     ).fit(training_set)
-    state, _ = fc.split_by_history(_buffers(spark, folder))
-    return materialise(state, "state"), models
+    return materialise(_buffers(spark, folder), "state"), models
 
 
 def _predicted(rolled: DataFrame) -> DataFrame:
