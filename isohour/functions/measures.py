@@ -38,19 +38,26 @@ def mean(value: Column, scale: int | None = None) -> Column:
 
 
 def trailing_mean(
-    value: Column, rows: int, window: WindowSpec, scale: int | None = None
+    value: Column,
+    rows: int,
+    window: WindowSpec,
+    scale: int | None = None,
+    by_range: bool = False,
 ) -> Column:
     """Mean of the non-NULL values in the ``rows`` rows before the current one.
 
+    With ``by_range`` ``rows`` is a distance in the order of the window instead.
+
     Without ``scale`` each frame is averaged afresh. With it the values are counted in whole
     units of the last digit; a difference of two running sums is then exact, and its cost does
     not grow with ``rows``.
     """
+    frame = window.rangeBetween if by_range else window.rowsBetween
     if scale is None:
-        return F.avg(value).over(window.rowsBetween(-rows, -1))
+        return F.avg(value).over(frame(-rows, -1))
 
     def up_to(end: int, of: Column) -> Column:
-        summed = F.sum(of).over(window.rowsBetween(Window.unboundedPreceding, end))
+        summed = F.sum(of).over(frame(Window.unboundedPreceding, end))
         return F.coalesce(summed, F.lit(0))
 
     units = (value.cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("bigint")

@@ -7,6 +7,10 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Microseconds of an hour.
+HOUR = 3_600_000_000
+
+
 def instant(value: str | datetime | date | Column) -> Column:
     """A TIMESTAMP_NTZ literal; the run's ``as_of`` stands in for now()."""
     if isinstance(value, Column):
@@ -34,6 +38,14 @@ def day_key(ts: Column) -> Column:
     return month_key(ts) * 100 + F.dayofmonth(ts)
 
 
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00:00 on the same zone-free clock."""
+    seconds = (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("bigint")
+    minutes = F.minute(ts).cast("bigint") * F.lit(HOUR // 60)
+    days = F.unix_date(F.to_date(ts)).cast("bigint") * F.lit(24 * HOUR)
+    return days + F.hour(ts) * F.lit(HOUR) + minutes + seconds
+
+
 def days_before(as_of: Column, days: int, *, snap_to_day: bool = False) -> Column:
     since = as_of - F.make_dt_interval(F.lit(days))
     return day_of(since) if snap_to_day else since

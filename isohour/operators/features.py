@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from isohour.functions.measures import rained, trailing_mean
-from isohour.functions.times import calendar, month_key
+from isohour.functions.times import HOUR, calendar, micros, month_key
 from isohour.operators.running import over_trailing_rows
 
 CHUNK_ROWS = 8192
@@ -122,30 +122,45 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(columns))
 
 
-def on_hour_grid(df: DataFrame, series: str = "city_id", ts: str = "timestamp") -> DataFrame:
-    """Fill each series up to one row per hour, so that row lags become clock lags.
+def with_clock_trails(
+    df: DataFrame,
+    trails: Sequence[Trail],
+    series: str = "city_id",
+    ts: str = "timestamp",
+    *,
+    scale: int | None = None,
+    chunk_hours: int | None = None,
+) -> DataFrame:
+    """Lags and means by the clock, at any minute: every row of ``df`` comes out once.
 
-    ``observed`` marks the rows that were there before. The grid is spanned month by month.
+    The n-th lag is the value exactly n hours earlier, the mean is over the n hours before the row.
+    Series are cut into spans of ``chunk_hours`` (8 times the reach if not given) that carry the
+    hours before them along. Rows without a series or a time have neither lags nor means.
     """
-    by_month = df.groupBy(series, month_key(F.col(ts)).alias("_ym")).agg(
-        F.min(ts).alias("_first"), F.max(ts).alias("_last")
-    )
-    spans = by_month.groupBy(series).agg(
-        F.min("_first").alias("_first"), F.max("_last").alias("_last")
+    reach = max(n for t in trails for n in (*t.lags, *t.means))
+    span = max(chunk_hours or 8 * reach, reach) * HOUR
+    placed = df.withColumn("_us", micros(F.col(ts)))
+    known = F.col(series).isNotNull() & F.col("_us").isNotNull()
+    # what has no place in a series is left where it was read, instead of all in one task
+    chunk = F.when(known, F.floor(F.col("_us") / F.lit(span))).otherwise(F.spark_partition_id())
+    in_tail = known & (F.pmod("_us", F.lit(span)) >= span - reach * HOUR)
+    placed = placed.withColumns({"_known": known, "_own": chunk, "_in_tail": in_tail})
+    both = F.array(F.col("_own"), F.col("_own") + 1)
+    copied = placed.withColumn(
+        "_chunk", F.explode(F.when(F.col("_in_tail"), both).otherwise(F.array("_own")))
     )
-    month_starts = F.sequence(
-        F.trunc("_first", "month"), F.trunc("_last", "month"), F.expr("INTERVAL 1 MONTH")
-    )
-    months = spans.select(series, "_first", "_last", F.explode(month_starts).alias("_month"))
-    start = F.greatest("_first", F.col("_month").cast("timestamp_ntz"))
-    end = F.least(
-        "_last",
-        F.add_months("_month", 1).cast("timestamp_ntz") - F.expr("INTERVAL 1 HOUR"),
-    )
-    grid = months.select(
-        series, F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias(ts)
-    )
-    return grid.join(df.withColumn("observed", F.lit(True)), [series, ts], "left")
+    window = Window.partitionBy(series, "_known", "_chunk").orderBy("_us")
+    made = {
+        f"{t.prefix}lag_{n}h": F.max(t.measure).over(window.rangeBetween(-n * HOUR, -n * HOUR))
+        for t in trails
+        for n in t.lags
+    } | {
+        f"{t.prefix}roll_{n}h": trailing_mean(F.col(t.measure), n * HOUR, window, scale, by_range=True)
+        for t in trails
+        for n in t.means
+    }
+    trailed = copied.withColumns({n: F.when(F.col("_known"), c) for n, c in made.items()})
+    return trailed.where("_chunk = _own").drop("_us", "_known", "_own", "_in_tail", "_chunk")
 
 
 def feature_table(
@@ -162,14 +177,14 @@ def feature_table(
     """All features of a set next to the observation, with the rain label.
 
     ``mode="rows"``: the n-th lag is the n-th earlier row, gaps or not. ``mode="clock"``: it is
-    the value n hours earlier.
+    the value n hours earlier, and ``chunk_rows`` counts hours.
     """
     if mode not in ("rows", "clock"):
         raise ValueError(f"unknown mode {mode!r}")
-    source = on_hour_grid(df, series, ts) if mode == "clock" else df
-    table = with_trails(source, features.trails, series, ts, scale=scale, chunk_rows=chunk_rows)
     if mode == "clock":
-        table = table.where("observed").drop("observed")
+        table = with_clock_trails(df, features.trails, series, ts, scale=scale, chunk_hours=chunk_rows)
+    else:
+        table = with_trails(df, features.trails, series, ts, scale=scale, chunk_rows=chunk_rows)
     table = with_calendar(table, ts)
     if "precipitation" in df.columns:
         table = with_rain_label(table)

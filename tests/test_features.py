@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from datetime import timedelta
 
 import pytest
 from helpers import at, rows_of
@@ -145,6 +146,27 @@ def test_clock_mode_leaves_gaps_missing(spark):
     ]
 
 
+@pytest.mark.parametrize("scale", [None, 1])
+@pytest.mark.parametrize("chunk_hours", [None, 3])
+def test_clock_mode_keeps_rows_at_any_minute(spark, scale, chunk_hours):
+    """Half-hour rows over the end of a month, other minutes, seconds, and rows without a place."""
+    half = [(1, at(24 * 30 + 21.5 + k / 2), float(k)) for k in range(10)]
+    odd = [(2, at(24 * 30 + h), round(10 * h, 1)) for h in (0.25, 1.25, 1.2505, 3.25, 4.25, 700.25)]
+    none = [(None, at(1), 1.0), (None, at(2), 2.0), (3, None, 3.0), (3, None, 4.0)]
+    df = spark.createDataFrame(half + odd + none, "city_id int, timestamp timestamp_ntz, temperature double")
+    only = ft.FeatureSet((ft.Trail("temperature", "", (1, 2), (2,)),), ())
+    found = ft.feature_table(df, only, mode="clock", complete_only=False, scale=scale, chunk_rows=chunk_hours)
+    want = [(*r, None, None, None) for r in none]
+    for city, stamp, t in half + odd:
+        own = {s: v for c, s, v in half + odd if c == city}
+        before = [v for s, v in own.items() if stamp - timedelta(hours=2) <= s < stamp]
+        lags = [own.get(stamp - timedelta(hours=n)) for n in (1, 2)]
+        want.append((city, stamp, t, *lags, sum(before) / len(before) if before else None))
+    assert found.count() == 20
+    for a, b in zip(rows_of(found, "city_id", "timestamp", "temperature", "lag_1h", "lag_2h", "roll_2h"), sorted(want, key=repr)):
+        assert a[:5] == b[:5] and a[5] == (b[5] if b[5] is None else pytest.approx(b[5])), (a, b)
+
+
 def test_running_totals(spark):
     df = spark.createDataFrame([("a", i, i % 3) for i in range(50)] + [("b", 1, 5)], "g string, i int, v int")
     found = running_totals(df, {"before": F.col("v")}, ["i"], F.floor(F.col("i") / 7), ["g"], totals=True)
