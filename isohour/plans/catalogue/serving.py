@@ -312,5 +312,5 @@ def model_recursive_forecast(spark: SparkSession, folder: str) -> DataFrame:
     mart = marts.hourly_mart(
         latest(spark, folder), cities(spark, folder), countries(spark, folder), AS_OF
     )
-    trained = training.train(mart, AS_OF, iterations=3)
+    trained = training.train(mart, AS_OF)
     return serving.forecast(mart, trained, AS_OF, history_days=12).rows

@@ -4,8 +4,10 @@ import json
 
 import pytest
 from helpers import at, rows_of, sine_series
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from isohour import schemas
 from isohour.operators import features as ft
 from isohour.operators import forecast as fc
@@ -185,6 +187,35 @@ def test_candidate_settings():
     assert (sampled.getSeed(), full.getSubsamplingRate()) == (42, 1.0)
 
 
+def test_registered_models_have_production_settings(spark, monkeypatch):
+    """300 rounds and 100 trees reach every fit of both queries; the fits themselves are left out."""
+    fitted = []
+
+    class Reached(Exception):
+        pass
+
+    def board(rows, columns, target="temperature", models=None, **more):
+        fitted.extend(c.make() for c in models or experiment.candidates())
+        raise Reached
+
+    def fit(pipeline, *_):
+        fitted.append(pipeline.getStages()[-1])
+        return pipeline
+
+    def stop(*_):
+        raise Reached
+
+    monkeypatch.setattr(experiment, "cross_validate", board)
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    monkeypatch.setattr(training, "metadata", stop)
+    for name in ("cross_validated_models", "model_recursive_forecast"):
+        with pytest.raises(Reached):
+            driver.queries()[name](spark, "/root/testdata/sf0.001")
+    boosted = [m for m in fitted if hasattr(m, "getMaxIter") and hasattr(m, "getMaxDepth")]
+    assert len(fitted) == 6 and [m.getMaxIter() for m in boosted] == [300] * 4
+    assert [m.getNumTrees() for m in fitted if hasattr(m, "getNumTrees")] == [100]
+
+
 def test_experiment_rows(spark, mart):
     observations = mart.select(
         F.col("observation_timestamp").alias("timestamp"),
