@@ -6,12 +6,13 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isohour.llm import bpe, packing, pages, passages, quality, quotes, rules, setsketch, twins, urls, vectors
+from isohour.llm import aligning, bpe, leaks, middles, packing, pages, passages, quality, quotes, rules, setsketch, twins, urls, vectors
 from isohour.llm.common import workers_import
 from isohour.plans.catalogue.registry import Register
 
 register = Register()
 BYTE_BPE, WORD_BPE = "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
 
 
@@ -71,6 +72,21 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), urls.parse_rules(*URL_RULES))
 
 
+@register(twins.LEAKS)
+def op11_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.digests(leaks.find(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
+@register()
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return aligning.align(table(spark, folder, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
+@register(twins.MIDDLES)
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middles.digests(middles.transform(table(spark, folder, "documents")))
+
+
 @register(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)

@@ -78,3 +78,64 @@ SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS
        coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM bodies LEFT JOIN cut USING (doc_id)"""
+
+#: Windows of each length that occurs are looked up at every place of every document.
+LEAKS = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), cut AS (SELECT item_id, w, least(10, len(w)) AS size FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM cut)
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT r, size, k, array_to_string(w[k:k + size - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM docs, sizes)
+), hits AS (SELECT r, k, size, item_id FROM places JOIN windows USING (size, words)),
+hit_words AS (
+  SELECT r, count(DISTINCT spot) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS spot FROM (SELECT DISTINCT r, k, size FROM hits)) GROUP BY r
+), found AS (SELECT r, list_sort(list(DISTINCT item_id)) AS items FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN found USING (r)"""
+
+#: Lines are the parts between line ends; the parts before a cut are joined again.
+MIDDLES = """
+WITH numbered AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents
+), drawn AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts,
+         CASE WHEN text = '' THEN 0 ELSE len(string_split(text, chr(10))) - CAST(suffix(text, chr(10)) AS INTEGER) END AS n,
+         CAST('0x' || hex[1:8] AS BIGINT) AS h1, CAST('0x' || hex[9:16] AS BIGINT) AS h2,
+         CAST('0x' || hex[17:24] AS BIGINT) AS h3, CAST('0x' || hex[25:32] AS BIGINT) AS h4
+  FROM numbered
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 AS plain
+  FROM drawn
+), ends AS (
+  SELECT *, CASE WHEN low = 0 THEN 0 WHEN low = n THEN length(text)
+                 ELSE length(array_to_string(parts[1:low], chr(10))) + 1 END AS a,
+         CASE WHEN high = 0 THEN 0 WHEN high = n THEN length(text)
+              ELSE length(array_to_string(parts[1:high], chr(10))) + 1 END AS b
+  FROM cuts
+), formed AS (
+  SELECT *, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1, length(text) - b) AS rest
+  FROM ends
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN NOT plain THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN NOT plain THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || rest || '<M>' || middle
+              ELSE '<S>' || rest || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM formed"""
