@@ -59,7 +59,7 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(twins.REPEATED_PASSAGES)
 def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
-    return passages.deduplicate(table(spark, folder, "documents"))
+    return passages.deduplicate(table(spark, folder, "documents"), texts=True)
 
 
 @register()

@@ -55,7 +55,7 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) A
 FROM embeddings LEFT JOIN component c ON c.id = vec_id LEFT JOIN degree d ON d.id = vec_id"""
 
 #: Bytes are pairs of hexadecimal digits; starts count from 0. Blocks of 200 starts keep substrings cheap in long texts.
-REPEATED_PASSAGES = """
+REPEATED_PASSAGES = r"""
 WITH bodies AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 firsts AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399, 200)) AS base FROM bodies),
 blocks AS (SELECT doc_id, base, substr(h, 2 * base + 1, 1198) AS h FROM firsts),
@@ -73,11 +73,14 @@ gaps AS (
   SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
          string_agg(substr(h, 2 * open + 1, 2 * (s - open)), '' ORDER BY s) AS head
   FROM gaps JOIN bodies USING (doc_id) GROUP BY doc_id
+), remaining AS (
+  SELECT doc_id, h, n_removed, n_spans, coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1) AS kept
+  FROM bodies LEFT JOIN cut USING (doc_id)
 )
 SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-       coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
-FROM bodies LEFT JOIN cut USING (doc_id)"""
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256,
+       decode(unhex(regexp_replace(kept, '((?:[0-7].)|(?:(?:C[2-9A-F]|D.)[89AB].)|(?:E.[89AB].[89AB].)|(?:F[0-4][89AB].[89AB].[89AB].))|..', '\1', 'g'))) AS text
+FROM remaining"""
 
 #: Windows of each length that occurs are looked up at every place of every document.
 LEAKS = r"""

@@ -24,7 +24,7 @@ def test_linked_vectors(spark):
     assert found.where("n_links > 0").count() > 50
 
 
-@pytest.mark.parametrize("operator, sql", [(setsketch.near_duplicates, twins.NEAR_DUPLICATES), (passages.deduplicate, twins.REPEATED_PASSAGES)])
+@pytest.mark.parametrize("operator, sql", [(setsketch.near_duplicates, twins.NEAR_DUPLICATES), (lambda docs: passages.deduplicate(docs, texts=True), twins.REPEATED_PASSAGES)])
 def test_odd_documents(spark, odd, operator, sql):
     table = odd.where("doc_id IS NOT NULL AND label IS NOT NULL")
     con = duckdb.connect()
