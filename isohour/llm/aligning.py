@@ -29,6 +29,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -43,9 +44,12 @@ from isohour.llm.common import fixed, slices
 
 BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 4096
-REMEMBERED_BYTES = 80 << 20  # what a worker keeps for each side, at ENTRY bytes a word and its own
-ENTRY = 200
+REMEMBERED_BYTES = 160 << 20  # what a worker keeps, at ENTRY bytes a word and its own
+PIECE_BYTES = 24 << 20  # the same for pieces of words
+ENTRY = 360
 SEGMENT = 20_000  # words that are aligned at a time
+END = (1 << 62, 0, 0, 0)
+NEAR = 8
 B_BITS = 16  # an id pair as one number: A's id above B's
 #: Blanks and marks that tokenizers may treat unlike a plain space.
 UNUSUAL = re.compile(r"[\x00-\x09\x0b-\x1f\x7f-\xa0\xad\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2581\u3000\ufeff\ufff0-\uffff]")
@@ -53,18 +57,16 @@ UNUSUAL = re.compile(r"[\x00-\x09\x0b-\x1f\x7f-\xa0\xad\u1680\u180e\u2000-\u200f
 LAST_LATIN = "\u024f"
 #: The byte-level tokenizer's own cut of a text into pieces.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-CHUNK = re.compile(r" [ \n]*(?:[^ \n]+\n[ \n]*)*[^ \n]*(?:[ \n]+\Z)?")
+PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+WORD = re.compile(r" [ \n]*(?:[^ \n]+\n[ \n]*)*[^ \n]*(?:[ \n]+\Z)?")
 
 
 class Side:
-    """One tokenizer: ids of strings, each id's bytes, and what is known of words."""
+    """One tokenizer: ids of strings, and each id's bytes."""
 
     def __init__(self) -> None:
         self.token_bytes: list[bytes] = self.bytes_of_ids()
         self.sizes = np.array(list(map(len, self.token_bytes)), np.int64)
-        self.known: dict[str, bytes] = {}
-        self.others: dict[str, bytes] = {}
-        self.held = 0
 
     def bytes_of_ids(self) -> list[bytes]:
         raise NotImplementedError
@@ -73,31 +75,12 @@ class Side:
         """Ids of texts that begin with a space."""
         raise NotImplementedError
 
-    def learn(self, new: set[str], chunks: list[str]) -> None:
-        """Make known the ids of new chunks as int32 bytes, and the tokens' bytes where those are not the chunk's.
-        When too much is held, only what ``chunks`` needs stays."""
-        self.held += sum(map(len, new)) + ENTRY * len(new)
-        if self.held > REMEMBERED_BYTES:
-            self.known.clear()
-            self.others.clear()
-            new = set(chunks)
-            self.held = sum(map(len, new)) + ENTRY * len(new)
-        for chunk, ids in zip(new, self.ids(list(new))):
-            self.known[chunk] = array("i", ids).tobytes()
-            given = b"".join([self.token_bytes[i] for i in ids])
-            if given != chunk.encode():
-                self.others[chunk] = given
-
-    def tokens(self, text: str, chunks: list[str]) -> list[bytes] | None:
-        """Ids of the text's chunks as int32 bytes; None where their bytes are not the text's."""
-        parts = list(map(self.known.get, chunks))
-        if None in parts:
-            self.learn({chunk for chunk, part in zip(chunks, parts) if part is None}, chunks)
-            parts = list(map(self.known.__getitem__, chunks))
-        if not self.others.keys().isdisjoint(chunks):
-            if b"".join([self.others.get(c, c.encode()) for c in chunks]) != text.encode():
-                return None
-        return parts
+    def parts(self, texts: list[str]) -> Iterator[tuple[bytes, bytes | None]]:
+        """Ids of each text as int32 bytes, and its tokens' bytes where those are not the text's."""
+        token_bytes = self.token_bytes
+        for text, ids in zip(texts, self.ids(texts)):
+            given = b"".join([token_bytes[i] for i in ids])
+            yield array("i", ids).tobytes(), None if given == text.encode() else given
 
 
 class ByteLevel(Side):
@@ -108,6 +91,8 @@ class ByteLevel(Side):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model
+        self.pieces: dict[str, list[int]] = {}
+        self.held = 0
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.signs = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
@@ -124,13 +109,28 @@ class ByteLevel(Side):
         return [self.tokenizer.encode(t, add_special_tokens=False).ids if max(t) > LAST_LATIN else self.merged(t) for t in texts]
 
     def merged(self, text: str) -> list[int]:
-        """The merges alone, for letters whose classes are settled."""
-        signs = self.signs
-        return [
-            token.id
-            for piece in PIECE.findall(text)
-            for token in self.merges.tokenize("".join([signs[b] for b in piece.encode()]))
-        ]
+        """The merges alone, for letters whose classes are settled; pieces are remembered."""
+        if PLAIN.fullmatch(text):
+            return self.piece(text)
+        found: list[int] = []
+        for piece in PIECE.findall(text):
+            found += self.pieces.get(piece) or self.remembered(piece)
+        return found
+
+    def remembered(self, piece: str) -> list[int]:
+        self.held += len(piece) + ENTRY
+        if self.held > PIECE_BYTES:
+            self.pieces.clear()
+            self.held = len(piece) + ENTRY
+        found = self.pieces[piece] = self.piece(piece)
+        return found
+
+    def piece(self, piece: str) -> list[int]:
+        if piece.isascii() and piece.isprintable():
+            signs = piece.replace(" ", self.signs[32])
+        else:
+            signs = "".join([self.signs[b] for b in piece.encode()])
+        return [token.id for token in self.merges.tokenize(signs)]
 
 
 class Pieces(Side):
@@ -161,9 +161,9 @@ def side(kind: type[Side], path: str) -> Side:
     return _sides[kind, path]
 
 
-def chunks_of(text: str) -> list[str]:
+def words_of(text: str) -> list[str]:
     """A text that begins with a space, cut before spaces that follow a word; whole where it holds unusual blanks."""
-    return [text] if UNUSUAL.search(text) else CHUNK.findall(text)
+    return [text] if UNUSUAL.search(text) else WORD.findall(text)
 
 
 def one_to_one(a: list[int], b: list[int], i: int, j: int) -> int:
@@ -171,64 +171,72 @@ def one_to_one(a: list[int], b: list[int], i: int, j: int) -> int:
     most = min(len(a) - i, len(b) - j)
     done, reach = 0, 1
     while done < most:
-        reach = min(reach, most - done)
-        if a[i + done : i + done + reach] != b[j + done : j + done + reach]:
+        left, right = a[i + done : i + done + reach], b[j + done : j + done + reach]
+        if left != right:
             while reach > 1:
-                half = reach // 2
-                if a[i + done : i + done + half] == b[j + done : j + done + half]:
-                    done += half
-                    reach -= half
-                else:
-                    reach = half
+                reach //= 2
+                if left[:reach] == right[:reach]:
+                    done += reach
+                    left, right = left[reach:], right[reach:]
             return done
-        done += reach
+        done += len(left)
         reach *= 2
     return done
 
 
 def diagonals(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]], list[int], list[int]]:
     """Stretches (i, j, length) of one-to-one tokens, irregular groups (i, j, first behind in a, in b), and the links inside
-    those. Both arrays rise to the same last end."""
+    those. Both arrays rise to the same last end. Most stretches are short, so the first ``NEAR`` ends are compared one by one
+    and probing starts behind them."""
     stretches, groups, left, right = [], [], [], []
-    i = j = 0
     n = len(a)
+    a, b = [*a, -1], [*b, -2]
+    i = j = 0
     while i < n:
-        if a[i] == b[j]:
-            length = one_to_one(a, b, i, j)
-            stretches.append((i, j, length))
-            i += length
-            j += length
+        x, y = a[i], b[j]
+        if x == y:
+            k, m, near = i, j, i + NEAR
+            while x == y:
+                k += 1
+                m += 1
+                if k == near:
+                    length = one_to_one(a, b, k, m)
+                    k += length
+                    m += length
+                    x, y = a[k], b[m]
+                    break
+                x, y = a[k], b[m]
+            stretches.append((i, j, k - i))
+            i, j = k, m
             if i >= n:
                 break
         k, m = i, j
-        x, y = a[k], b[m]
-        left.append(k)
-        right.append(m)
         while x != y:
+            left.append(k)
+            right.append(m)
             if x < y:
                 k += 1
                 x = a[k]
             else:
                 m += 1
                 y = b[m]
-            left.append(k)
-            right.append(m)
+        left.append(k)
+        right.append(m)
         groups.append((i, j, k + 1, m + 1))
         i, j = k + 1, m + 1
     return stretches, groups, left, right
 
 
 def group_texts(stretches: list, groups: list, a: list[str], b: list[str]) -> str:
-    """All groups in order as ``a1,a2|b1;a3|b2``."""
-    made = []
-    at = 0
-    for i, j, length in stretches:
-        while at < len(groups) and groups[at][0] < i:
-            p, q, r, s = groups[at]
-            made.append(",".join(a[p:r]) + "|" + ",".join(b[q:s]))
-            at += 1
-        made.extend(map("|".join, zip(a[i : i + length], b[j : j + length])))
-    made.extend(",".join(a[p:r]) + "|" + ",".join(b[q:s]) for p, q, r, s in groups[at:])
+    """All groups in order as ``a1,a2|b1;a3|b2``; ``a`` has the bar behind each id."""
+    made: list[str] = []
+    irregular = iter(groups)
+    p, q, r, t = next(irregular, END)
+    for i, j, length in [*stretches, (len(a), 0, 0)]:
+        while p < i:
+            made.append((a[p] if r - p == 1 else ",".join(a[p:r]).replace("|,", ",")) + ",".join(b[q:t]))
+            p, q, r, t = next(irregular, END)
+        made.extend(map(add, a[i : i + length], b[j : j + length]))
     return ";".join(made)
 
 
@@ -253,32 +261,59 @@ def spread(stretches: list[tuple[int, int, int]], which: int) -> np.ndarray:
 
 
 class Aligner:
+    """Both tokenizers, and the tokens of words met before: ids of A and B, and the tokens' bytes where not the word's."""
+
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = side(ByteLevel, path_a), side(Pieces, path_b)
-        self.numbers = list(map(str, range(max(len(self.a.sizes), len(self.b.sizes)))))
+        self.texts_a = [f"{i}|" for i in range(len(self.a.sizes))]
+        self.texts_b = [str(i) for i in range(len(self.b.sizes))]
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.others: dict[str, tuple[bytes, bytes]] = {}
+        self.held = 0
+
+    def learn(self, words: set[str]) -> None:
+        """Make all these words known; when too much is held, no others stay."""
+        new = list(words.difference(self.known))
+        self.held += sum(map(len, new)) + ENTRY * len(new)
+        if self.held > REMEMBERED_BYTES:
+            self.known.clear()
+            self.others.clear()
+            new = list(words)
+            self.held = sum(map(len, new)) + ENTRY * len(new)
+        for word, (ids_a, other_a), (ids_b, other_b) in zip(new, self.a.parts(new), self.b.parts(new)):
+            self.known[word] = ids_a, ids_b
+            if other_a is not None or other_b is not None:
+                raw = word.encode()
+                self.others[word] = raw if other_a is None else other_a, raw if other_b is None else other_b
+
+    def spelt(self, words: list[str]) -> bool:
+        """Whether the tokens of both sides give the words' bytes."""
+        if self.others.keys().isdisjoint(words):
+            return True
+        given = zip(*[self.others.get(w) or (w.encode(),) * 2 for w in words])
+        want = "".join(words).encode()
+        return all(b"".join(parts) == want for parts in given)
 
     def part(self, a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, str]:
         """Groups, the id pair of every link, and the groups as text."""
         ends = [np.cumsum(s.sizes[ids]).tolist() for s, ids in ((self.a, a), (self.b, b))]
         stretches, groups, left, right = diagonals(*ends)
-        shown = group_texts(stretches, groups, *([self.numbers[i] for i in ids.tolist()] for ids in (a, b)))
+        texts_a, texts_b = self.texts_a, self.texts_b
+        shown = group_texts(stretches, groups, [texts_a[i] for i in a.tolist()], [texts_b[i] for i in b.tolist()])
         at_a, at_b = spread(stretches, 0), spread(stretches, 1)
         pairs = (a[np.append(at_a, left).astype(np.int64)].astype(np.int64) << B_BITS) | b[np.append(at_b, right).astype(np.int64)]
         return len(at_a) + len(groups), pairs, shown
 
-    def align(self, text: str, keep: bool = False) -> Alignment:
-        """The words of both sides end together, so long texts are aligned some words at a time."""
+    def align(self, words: list[str], keep: bool = False) -> Alignment:
+        """One text from its words, which must be known. The tokens of both sides end with every word, so long
+        texts are aligned some words at a time."""
         made = Alignment()
-        if not text:
-            return made
-        spaced = " " + text
-        chunks = chunks_of(spaced)
-        sides = [s.tokens(spaced, chunks) for s in (self.a, self.b)]
-        if None in sides:
+        if not words or not self.spelt(words):
             return made
         digest, kept, pairs, times = hashlib.sha256(), [], [], []
-        for at in range(0, len(chunks), SEGMENT):
-            a, b = (np.frombuffer(b"".join(parts[at : at + SEGMENT]), np.int32) for parts in sides)
+        for at in range(0, len(words), SEGMENT):
+            known = list(map(self.known.__getitem__, words[at : at + SEGMENT]))
+            a, b = (np.frombuffer(b"".join([ids[which] for ids in known]), np.int32) for which in (0, 1))
             n_groups, met, shown = self.part(a, b)
             digest.update((";" + shown if at else shown).encode())
             if keep:
@@ -290,10 +325,19 @@ class Aligner:
             for column, values in zip((pairs, times), np.unique(met, return_counts=True)):
                 column.append(values)
         made.digest, made.groups = digest.hexdigest(), ";".join(kept)
-        made.pairs, where = np.unique(np.concatenate(pairs), return_inverse=True)
-        made.times = np.bincount(where, np.concatenate(times), len(made.pairs)).astype(np.int64)
+        if len(pairs) == 1:
+            made.pairs, made.times = pairs[0], times[0]
+        else:
+            made.pairs, where = np.unique(np.concatenate(pairs), return_inverse=True)
+            made.times = np.bincount(where, np.concatenate(times), len(made.pairs)).astype(np.int64)
         return made
 
+    def align_all(self, texts: list[str], keep: bool = False) -> list[Alignment]:
+        """Texts of one block; their new words are encoded together."""
+        cut = [words_of(" " + text) if text else [] for text in texts]
+        self.learn({word for words in cut for word in words})
+        return [self.align(words, keep) for words in cut]
+
 
 _aligners: dict[tuple[str, str], Aligner] = {}
 
@@ -314,7 +358,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text
         for batch in slices(batches, "text", BLOCK_BYTES):
             for start in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(start, BLOCK_ROWS)
-                made = [worker.align(t, groups) for t in part.column(1).to_pylist()]
+                made = worker.align_all(part.column(1).to_pylist(), groups)
                 known, place, among = np.unique(np.concatenate([m.pairs for m in made]), return_inverse=True, return_counts=True)
                 borders = np.concatenate([[0], np.cumsum([len(m.pairs) for m in made])])
                 rest = [None] * (part.num_rows - 1)

@@ -188,7 +188,7 @@ def test_alignment(spark, docs, monkeypatch, segment):
     else:
         monkeypatch.setattr(aligning, "SEGMENT", segment)
         worker = aligning.Aligner(BYTE_BPE, PIECES)
-        found = [worker.align(t, keep=True) for t in texts]
+        found = worker.align_all([t or '' for t in texts], keep=True)
         assert [(i, m.n_a, m.n_b, m.n_groups, m.n_links, m.digest) for i, m in enumerate(found)] == [r[:6] for r in want]
         assert all(sha(m.groups) == m.digest for m in found if m.n_a)
 
@@ -196,12 +196,10 @@ def test_alignment(spark, docs, monkeypatch, segment):
 def test_words_are_forgotten(monkeypatch, docs):
     """A worker that holds next to nothing gives the same tokens."""
     texts = ODD_TEXTS + [r.text for r in docs.select("text").limit(40).collect()]
-    whole, small = aligning.Aligner(BYTE_BPE, PIECES), aligning.Aligner(BYTE_BPE, PIECES)
-    want = [whole.align(t).digest for t in texts]
+    want = [m.digest for m in aligning.Aligner(BYTE_BPE, PIECES).align_all([t or "" for t in texts])]
+    small = aligning.Aligner(BYTE_BPE, PIECES)
     monkeypatch.setattr(aligning, "REMEMBERED_BYTES", 2_000)
-    for s in (small.a, small.b):
-        s.known.clear()
-    assert [small.align(t).digest for t in texts] == want
+    assert [m.digest for t in texts for m in small.align_all([t or ""])] == want
 
 
 def test_alignment_of_repeated_and_no_rows(spark, odd):
@@ -218,6 +216,9 @@ def test_probing():
     for cut in range(9):
         b = a[:cut] + [a[cut] + 0.5] + a[cut + 1 :]
         assert aligning.one_to_one(a, b, 0, 0) == cut
+    long = list(range(1, 200))
+    odd = [*range(1, 100), 99.5, *range(100, 200)]
+    assert aligning.diagonals(long, odd) == ([(0, 0, 99), (100, 101, 99)], [(99, 99, 100, 101)], [99, 99], [99, 100])
     stretches, groups, left, right = aligning.diagonals([1, 2, 3, 6, 8], [1, 3, 4, 6, 7, 8])
     assert stretches == [(0, 0, 1)] and groups == [(1, 1, 3, 2), (3, 2, 4, 4), (4, 4, 5, 6)]
     assert list(zip(left, right)) == [(1, 1), (2, 1), (3, 2), (3, 3), (4, 4), (4, 5)]
