@@ -11,6 +11,8 @@ from isohour.llm.common import fixed, workers_import
 WORD_BPE = "word_bpe_49k.json"
 #: Words of a shingle in the near-duplicate stage; the query op5 has two.
 NEAR_WORDS = 5
+#: Words of a passage in the repeated-passages stage; the query op8 counts 400 bytes.
+PASSAGE_WORDS = 50
 #: Quality classification, near duplicates and whole-text digests have no SQL form; the stages are tested
 #: against brute force instead.
 ORACLE_SQL = None
@@ -40,12 +42,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages that occur elsewhere; n_chars follows the text."""
+    """All documents, without passages of ``PASSAGE_WORDS`` words that another document holds; n_chars follows the text."""
     workers_import(spark)
-    cut = passages.deduplicate(docs, texts=True).where("kept_text IS NOT NULL").select("doc_id", "kept_text").dropDuplicates(["doc_id"])
-    joined = docs.join(cut, "doc_id", "left").withColumn("text", F.coalesce("kept_text", "text"))
-    n_chars = F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.withColumn("n_chars", n_chars).select(*docs.columns)
+    left = passages.without_repeats(docs, length=PASSAGE_WORDS)
+    return left.withColumn("n_chars", F.coalesce(F.length("text"), "n_chars").cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
