@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegressionModel
@@ -131,7 +132,16 @@ def next_hour_features(
     return made | calendar(forecast_ts)
 
 
-# --- linear models: the whole recursion is one Catalyst expression ---
+# --- models as expressions: the whole recursion is one Catalyst expression ---
+
+
+class Predictor(Protocol):
+    """A fitted model that is a column expression over named features."""
+
+    @property
+    def names(self) -> Sequence[str]: ...
+
+    def on(self, features: Mapping[str, Column]) -> Column: ...
 
 
 @dataclass(frozen=True)
@@ -151,6 +161,11 @@ class Linear:
             isinstance(model, LogisticRegressionModel),
         )
 
+    @property
+    def names(self) -> list[str]:
+        """The features that the model reads."""
+        return list(self.weights)
+
     def on(self, features: Mapping[str, Column]) -> Column:
         value = None
         for name, weight in self.weights.items():
@@ -163,25 +178,29 @@ class Linear:
         return 1.0 / (1.0 + F.exp(-value)) if self.logistic else value
 
 
-def linear_forecast(
+def expression_forecast(
     state: DataFrame,
     series: str,
-    temperature: Linear,
-    rain: Linear | None = None,
+    temperature: Predictor,
+    rain: Predictor | None = None,
     horizon: int = HORIZON,
     features: FeatureSet = PRODUCTION,
+    precip_feedback: str = "probability",
 ) -> DataFrame:
-    """Roll linear models forward inside one fold over the hours: no step leaves the row.
+    """Roll models forward inside one fold over the hours: no step leaves the row, and the plan is one narrow stage.
 
-    Predicted temperature and rain probability are appended to the buffer, humidity and pressure
-    are carried forward. Without a rain model precipitation is carried forward as well. Adds the
-    arrays ``predicted_temperature`` and ``rain_probability``.
+    Predicted temperature and, by ``precip_feedback``, the rain ``probability`` or the ``last`` precipitation are appended to
+    the buffer, humidity and pressure are carried forward. Without a rain model precipitation is carried forward as
+    well. Adds the arrays ``predicted_temperature`` and ``rain_probability``.
     """
+    if precip_feedback not in ("probability", "last"):
+        raise ValueError(f"unknown precip_feedback {precip_feedback!r}")
     held = [m for m in STATE if m in state.columns]
-    used = {*temperature.weights, *(rain.weights if rain else ())}
+    used = {*temperature.names, *(rain.names if rain else ())}
     statics = {s: F.col(s) for s in features.statics if s in state.columns}
     asked = [t for t in features.trails if used & set(t.names())]
-    kept = [m for m in held if m == "temperature" or rain or any(t.measure == m for t in asked)]
+    kept = [m for m in held if m == "temperature" or any(t.measure == m for t in asked)]
+    wet = "rain_probability"
 
     def step(buffer: Column, h: Column) -> Column:
         now = plus_hours(F.col("last_ts"), h)
@@ -189,23 +208,36 @@ def linear_forecast(
         known = next_hour_features(parts, asked, now) | statics
         added = {m: lag_of(parts[m], 1) for m in kept}
         added["temperature"] = temperature.on(known)
-        if rain:
-            added["precipitation"] = rain.on(known)
-        return F.struct(
-            *[F.concat(parts[m], F.array(added[m])).alias(m) for m in kept]
+        if not rain:
+            return F.struct(*[F.concat(parts[m], F.array(added[m])).alias(m) for m in kept])
+        parts[wet] = buffer[wet]
+        added[wet] = rain.on(known)
+        # the probability is bound once, as two arrays may take it
+        return F.get(
+            F.transform(
+                F.array(added[wet]),
+                lambda p: F.struct(
+                    *[
+                        F.concat(parts[m], F.array(p if fed(m) else added[m])).alias(m)
+                        for m in (*kept, wet)
+                    ]
+                ),
+            ),
+            F.lit(0),
         )
 
+    def fed(measure: str) -> bool:
+        return measure == wet or (measure == "precipitation" and precip_feedback == "probability")
+
+    start = [F.col(m).cast("array<double>").alias(m) for m in kept]
+    if rain:
+        start.append(F.array().cast("array<double>").alias(wet))
     rolled = state.withColumn(
-        "_end",
-        F.aggregate(
-            F.sequence(F.lit(1), F.lit(horizon)),
-            F.struct(*[F.col(m).alias(m) for m in kept]),
-            step,
-        ),
+        "_end", F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.struct(*start), step)
     )
     tail = {"predicted_temperature": F.slice("_end.temperature", -horizon, horizon)}
     if rain:
-        tail["rain_probability"] = F.slice("_end.precipitation", -horizon, horizon)
+        tail[wet] = F.col(f"_end.{wet}")
     return rolled.withColumns(tail).drop("_end")
 
 

@@ -138,7 +138,7 @@ def forecast_seed_features(spark: SparkSession, folder: str) -> DataFrame:
 @register(
     with_tables(
         f"""{_BUFFERS}, ready AS (
-  SELECT city_id, last_ts, temperature AS buf FROM buffers WHERE len(temperature) >= 168
+  SELECT city_id, last_ts, temperature AS buf FROM buffers
 ), rolled AS (
   SELECT city_id, last_ts, buf, 0 AS h FROM ready
   UNION ALL
@@ -156,7 +156,7 @@ FROM rolled WHERE h > 0""",
 def linear_recursive_forecast(spark: SparkSession, folder: str) -> DataFrame:
     state = _buffers(spark, folder)
     model = fc.Linear({"lag_1h": 0.5, "lag_24h": 0.25, "lag_168h": 0.25})
-    rolled = fc.linear_forecast(state, "city_id", model)
+    rolled = fc.expression_forecast(state, "city_id", model)
     hours = rolled.select("city_id", "last_ts", F.posexplode("predicted_temperature").alias("h", "t"))
     return hours.select(
         "city_id",
@@ -189,7 +189,7 @@ def history_split(spark: SparkSession, folder: str) -> DataFrame:
 
 _FITTED_SQL = with_tables(
     f"""{_BUFFERS}, ready AS (
-  SELECT city_id, last_ts, temperature AS buf FROM buffers WHERE len(temperature) >= 168
+  SELECT city_id, last_ts, temperature AS buf FROM buffers
 ), pairs AS (
   SELECT temperature AS y,
          lag(temperature, 24) OVER (PARTITION BY city_id ORDER BY "timestamp") AS x FROM latest
@@ -244,7 +244,7 @@ def fitted_linear_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted linear models rolled forward as one expression."""
     state, models = _fitted(spark, folder)
     warm, wet = (fc.Linear.fitted(m, ["lag_24h"]) for m in models.stages[1:])
-    return _predicted(fc.linear_forecast(state, "city_id", warm, wet))
+    return _predicted(fc.expression_forecast(state, "city_id", warm, wet))
 
 
 @register(_FITTED_SQL)

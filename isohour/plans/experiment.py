@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isohour.functions.times import instant, since
+from isohour.operators.boosting import Ensemble, Fit, Settings, fit_all, scores_of_folds
 from isohour.operators.features import EXPERIMENT, FeatureSet, feature_table
-from isohour.operators.folds import split, with_block
+from isohour.operators.folds import with_block
+from isohour.operators.forecast import Linear
 from isohour.operators.metrics import leaderboard, mean_over_folds, regression_metrics
+from isohour.operators.moments import block_moments, expanding_fits
 from isohour.session import materialise
 
 FOLD_METRICS = "model string, fold int, n bigint, rmse double, mae double, seconds double"
@@ -24,29 +23,21 @@ FOLD_METRICS = "model string, fold int, n bigint, rmse double, mae double, secon
 
 @dataclass(frozen=True)
 class Candidate:
+    """Boosted trees with these settings; linear regression on scaled features without."""
+
     name: str
-    make: Callable[[], Estimator]
-    scaled: bool = False
+    boosted: Settings | None = None
 
 
 def candidates(iterations: int = 300, seed: int = 42) -> list[Candidate]:
-    """Boosted trees with and without sampling, a forest, and scaled linear regression."""
-    common = dict(
-        featuresCol="features", labelCol="label", maxDepth=6, seed=seed, cacheNodeIds=True
-    )
-    boosted = dict(common, maxIter=iterations, stepSize=0.05)
+    """Boosted trees on samples, on samples with large leaves, and on all rows; scaled linear regression."""
+    full = Settings(rounds=iterations, seed=seed)
+    sampled = replace(full, row_share=0.8, feature_share=0.8)
     return [
-        Candidate(
-            "boosted_sampled",
-            lambda: GBTRegressor(subsamplingRate=0.8, featureSubsetStrategy="0.8", **boosted),
-        ),
-        Candidate("boosted_full", lambda: GBTRegressor(**boosted)),
-        Candidate("forest", lambda: RandomForestRegressor(numTrees=max(iterations // 3, 1), **common)),
-        Candidate(
-            "linear_regression",
-            lambda: LinearRegression(featuresCol="scaled", labelCol="label", solver="normal"),
-            scaled=True,
-        ),
+        Candidate("boosted_sampled", sampled),
+        Candidate("boosted_large_leaves", replace(sampled, least_rows=20)),
+        Candidate("boosted_full", full),
+        Candidate("linear_regression"),
     ]
 
 
@@ -63,28 +54,10 @@ def training_rows(
     return feature_table(rows, features).join(places, "city_id", "left")
 
 
-def assembled(
-    rows: DataFrame, columns: Sequence[str], target: str, *keep: str
-) -> DataFrame:
-    vector = VectorAssembler(inputCols=list(columns), outputCol="features")
-    labelled = rows.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
-    return vector.transform(labelled).select(*keep, "features", "label")
-
-
-def estimator_of(candidate: Candidate) -> Pipeline:
-    """The scaler is part of the pipeline, so it only ever sees training rows of a fold."""
-    stages: list[Estimator] = [candidate.make()]
-    if candidate.scaled:
-        stages.insert(
-            0, StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-        )
-    return Pipeline(stages=stages)
-
-
 @dataclass(frozen=True)
 class Experiment:
     fold_metrics: DataFrame
-    last_models: dict[str, PipelineModel]
+    last_models: dict[str, Ensemble | Linear]
 
     def results(self) -> DataFrame:
         return leaderboard(mean_over_folds(self.fold_metrics))
@@ -96,45 +69,64 @@ def cross_validate(
     target: str = "temperature",
     models: Sequence[Candidate] | None = None,
     folds: int = 5,
-    parallelism: int = 4,
 ) -> Experiment:
-    """Fit every model on every fold; only the metrics reach the driver.
+    """Fit every model on every fold; only models and metrics reach the driver.
 
-    The assembled rows are read often, so they are written to the shared folder once; fold borders
-    and every fit start from there.
+    All boosted fits are grown together. Linear fits take one scan: moments per block, whose running sums are the
+    moments of the expanding folds. One more scan scores every model on the fold that each row is the test of. Rows
+    are read often, so they are written to the shared folder once.
     """
     spark = rows.sparkSession
-    stored = materialise(assembled(rows, columns, target, "timestamp"), "folds")
-    blocked = with_block(stored, folds=folds).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = rows.where(F.col(target).isNotNull())
+    plain = [F.col(c).cast("double").alias(c) for c in columns]
+    blocked = materialise(with_block(labelled.select("timestamp", F.col(target).cast("double").alias("label"), *plain), folds=folds), "folds")
     chosen = list(models or candidates())
+    fitted: dict[str, dict[int, Ensemble | Linear]] = {}
+    seconds: dict[str, float] = {}
 
-    def one(job: tuple[Candidate, int]) -> tuple[tuple, PipelineModel]:
-        candidate, fold = job
+    boosted = [c for c in chosen if c.boosted]
+    if boosted:
         began = time.perf_counter()
-        train, test = split(blocked, fold)
-        model = estimator_of(candidate).fit(train)
-        scored = regression_metrics(model.transform(test), "label", "prediction").first()
-        took = time.perf_counter() - began
-        return (candidate.name, fold, scored.n, scored.rmse, scored.mae, took), model
-
-    jobs = [(c, f) for c in chosen for f in range(1, folds + 1)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        done = list(pool.map(one, jobs))
-    blocked.unpersist()
+        fits = [Fit(c.name, "label", c.boosted, fold) for c in boosted for fold in range(1, folds + 1)]
+        for fit, model in zip(fits, fit_all(blocked, columns, fits, ["timestamp", *columns])):
+            fitted.setdefault(fit.name, {})[fit.before] = model
+        seconds |= {c.name: (time.perf_counter() - began) / len(boosted) for c in boosted}
+    for candidate in chosen:
+        if not candidate.boosted:
+            began = time.perf_counter()
+            fitted[candidate.name] = expanding_fits(block_moments(blocked, columns, "label"), columns, folds)
+            seconds[candidate.name] = time.perf_counter() - began
+
+    scores = scored(blocked, fitted, columns)
+    metrics = regression_metrics(scores, "label", "prediction", ["model", "fold"]).collect()
+    timed = [(*m, seconds[m.model] / folds) for m in metrics]
     return Experiment(
-        spark.createDataFrame([row for row, _ in done], FOLD_METRICS),
-        {c.name: model for (c, f), (_, model) in zip(jobs, done) if f == folds},
+        spark.createDataFrame(timed, FOLD_METRICS),
+        {name: models[max(models)] for name, models in fitted.items() if models},
     )
 
 
-def importances(
-    spark: SparkSession, model: PipelineModel, columns: Sequence[str]
-) -> DataFrame:
-    """Feature importances of a fitted tree model, greatest first."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(
-        list(zip(columns, weights)), "feature string, importance double"
-    ).orderBy(F.desc("importance"), "feature")
+def scored(blocked: DataFrame, fitted: dict[str, dict[int, Ensemble | Linear]], columns: Sequence[str]) -> DataFrame:
+    """Every model's prediction of the rows that its fold tests: one scan for all ensembles, one for the linear models."""
+    parts = []
+    features = {c: F.col(c) for c in columns}
+    boosted = [(name, fold, m) for name, models in fitted.items() for fold, m in models.items() if isinstance(m, Ensemble)]
+    if boosted:
+        parts.append(scores_of_folds(blocked, boosted, columns))
+    for name, models in fitted.items():
+        cases = [(F.col("block") == fold, model.on(features)) for fold, model in models.items() if isinstance(model, Linear)]
+        if cases:
+            chosen: Column = reduce(lambda so_far, case: so_far.when(*case), cases[1:], F.when(*cases[0]))
+            tested = blocked.where(F.col("block").isin(*models))
+            parts.append(tested.select(F.lit(name).alias("model"), F.col("block").alias("fold"), "label", chosen.alias("prediction")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def importances(spark: SparkSession, model: Ensemble) -> DataFrame:
+    """Feature importances of a fitted ensemble, shares of the gain, greatest first."""
+    return spark.createDataFrame(model.importances(), "feature string, importance double").orderBy(
+        F.desc("importance"), "feature"
+    )
 
 
 def experiment_record(

@@ -39,7 +39,6 @@ def forecast(
     horizon: int = fc.HORIZON,
     history_days: int = fc.HISTORY_DAYS,
     needed_rows: int = 1,
-    checkpoint_every: int = 6,
 ) -> Forecast:
     """Forecast every city; those with less than ``needed_rows`` of history are listed in ``skipped``.
 
@@ -48,9 +47,7 @@ def forecast(
     """
     state = materialise(serving_state(mart_hourly, as_of, history_days), "state")
     ready, short = fc.split_by_history(state, needed=needed_rows)
-    rolled = fc.model_forecast(
-        ready, trained.both(), horizon, checkpoint_every=checkpoint_every
-    )
+    rolled = fc.expression_forecast(ready, "city", trained.regressor, trained.classifier, horizon)
     version = trained.meta.select("model_version").first().model_version
     rows = fc.forecast_rows(rolled, as_of, version)
     skipped = short.select("city", "last_ts", F.size("temperature").alias("history_rows"))

@@ -120,7 +120,7 @@ def test_a_linear_model_without_an_input_forecasts_null(spark):
         ]
     ).fit(spark.createDataFrame([(float(i), 2.0 * i, float(i % 3 == 0)) for i in range(9)], "lag_24h double, y double, wet double"))
     warm, wet = (forecast.Linear.fitted(m, ["lag_24h"]) for m in models.stages[1:])
-    for rolled in (forecast.linear_forecast(known, "city_id", warm, wet, 25), forecast.model_forecast(known, models, 25)):
+    for rolled in (forecast.expression_forecast(known, "city_id", warm, wet, 25), forecast.model_forecast(known, models, 25)):
         short, full = (r.predicted_temperature for r in rolled.orderBy("city_id").collect())
         assert short[:21] == [None] * 21 and short[21:24] == pytest.approx([2.0] * 3) and short[24] is None
         assert None not in full

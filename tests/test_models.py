@@ -4,7 +4,6 @@ import json
 
 import pytest
 from helpers import at, rows_of, sine_series
-from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
@@ -27,7 +26,7 @@ def mart(spark):
 
 @pytest.fixture(scope="module")
 def trained(mart):
-    return training.train(mart, AS_OF, iterations=5)
+    return training.train(mart, AS_OF, iterations=40)
 
 
 def naive_rmse(rows):
@@ -44,7 +43,7 @@ def test_training_beats_a_naive_predictor_and_is_repeatable(mart, trained):
     assert meta.regressor.insample_rmse < naive_rmse(rows)
     assert meta.classifier.insample_auc > 0.9
     assert meta.classifier.rain_base_rate == pytest.approx(3 / 24, abs=0.01)
-    again = training.train(mart, AS_OF, iterations=5)
+    again = training.train(mart, AS_OF, iterations=40)
     assert again.meta.first() == meta
 
 
@@ -57,14 +56,12 @@ def test_save_and_load(spark, mart, trained):
     assert loaded.meta.first().model_version == "gbt_v1_2024-01"
     rows = training.training_rows(mart).limit(20)
     for a, b in ((trained.regressor, loaded.regressor), (trained.classifier, loaded.classifier)):
-        column = "temperature_prediction" if a is trained.regressor else "rain_probability_vector"
-        assert [r[0] for r in a.transform(rows).select(column).collect()] == [
-            r[0] for r in b.transform(rows).select(column).collect()
-        ]
+        assert a.saved() == b.saved() and len(a.trees) == 40
+        assert rows_of(a.predict(rows, "p"), "city", "timestamp", "p") == rows_of(b.predict(rows, "p"), "city", "timestamp", "p")
 
 
 def test_forecast_follows_the_cycle(spark, mart, trained):
-    made = serving.forecast(mart, trained, AS_OF, horizon=24, checkpoint_every=5)
+    made = serving.forecast(mart, trained, AS_OF, horizon=24, needed_rows=fc.NEEDED_ROWS)
     assert made.rows.columns == schemas.FORECAST_MART.names
     assert [f.dataType for f in made.rows.schema] == [f.dataType for f in schemas.FORECAST_MART]
     assert rows_of(made.skipped, "city", "history_rows") == [("city_2", 100)]
@@ -85,17 +82,16 @@ def test_forecast_follows_the_cycle(spark, mart, trained):
 
 
 def test_first_step_equals_the_batch_model(spark, mart, trained):
-    made = serving.forecast(mart, trained, AS_OF, horizon=1)
+    made = serving.forecast(mart, trained, AS_OF, horizon=1, needed_rows=fc.NEEDED_ROWS)
     nexts = mart.groupBy("city").agg(
         (F.max("observation_timestamp") + F.expr("INTERVAL 1 HOUR")).alias("observation_timestamp"),
         *[F.first(c).alias(c) for c in ("latitude", "longitude")],
     )
     longer = mart.unionByName(nexts, allowMissingColumns=True)
-    batch = trained.regressor.transform(training.training_rows(longer)).where(
-        F.col("timestamp") == F.lit(AS_OF).cast("timestamp_ntz")
-    )
-    assert rows_of(made.rows, "city", "predicted_temperature") == rows_of(
-        batch.select("city", F.round("temperature_prediction", 2).alias("p")), "city", "p"
+    steps = training.training_rows(longer).where(F.col("timestamp") == F.lit(AS_OF).cast("timestamp_ntz"))
+    batch = trained.classifier.predict(trained.regressor.predict(steps, "t"), "r")
+    assert rows_of(made.rows, "city", "predicted_temperature", "rain_probability") == rows_of(
+        batch.select("city", F.round("t", 2).alias("t"), F.round("r", 4).alias("r")), "city", "t", "r"
     )
 
 
@@ -106,19 +102,39 @@ def test_short_history_can_be_forecast_with_missing_lags(mart, trained):
 
 
 def test_precipitation_feedback(spark, mart, trained):
-    ready, _ = fc.split_by_history(serving.serving_state(mart, AS_OF))
+    """Both ways, against steps made one by one from the models' batch predictions."""
+    ready, _ = fc.split_by_history(serving.serving_state(mart, AS_OF), needed=fc.NEEDED_ROWS)
+    start = {r.city: r.asDict() for r in ready.collect()}
     for feedback in ("probability", "last"):
-        rolled = fc.model_forecast(
-            ready, trained.both(), 2, precip_feedback=feedback
-        ).first()
-        seen = rolled.precipitation[-2:]
-        if feedback == "probability":
-            assert seen == rolled.rain_probability
-        else:
-            assert seen == [rolled.precipitation[-3]] * 2
-        assert rolled.humidity[-1] == rolled.humidity[-3]
+        rolled = fc.expression_forecast(ready, "city", trained.regressor, trained.classifier, 4, precip_feedback=feedback)
+        found = {r.city: (r.predicted_temperature, r.rain_probability) for r in rolled.collect()}
+        state = {city: {k: list(v) if isinstance(v, list) else v for k, v in r.items()} for city, r in start.items()}
+        made = {city: ([], []) for city in state}
+        for h in range(1, 5):
+            table = spark.createDataFrame(list(state.values()), ready.schema)
+            known = fc.next_hour_features({m: F.col(m) for m in fc.STATE}, ft.PRODUCTION.trails, F.col("last_ts") + F.expr(f"INTERVAL {h} HOUR"))
+            steps = table.select("city", *ft.PRODUCTION.statics, *[c.alias(n) for n, c in known.items()])
+            for r in trained.classifier.predict(trained.regressor.predict(steps, "t"), "r").collect():
+                here = state[r.city]
+                here["temperature"].append(r.t)
+                here["precipitation"].append(r.r if feedback == "probability" else here["precipitation"][-1])
+                for m in ("humidity", "pressure"):
+                    here[m].append(here[m][-1])
+                made[r.city][0].append(r.t)
+                made[r.city][1].append(r.r)
+        for city, (t, p) in made.items():
+            assert found[city][0] == pytest.approx(t) and found[city][1] == pytest.approx(p)
     with pytest.raises(ValueError):
-        fc.model_forecast(ready, trained.both(), 1, precip_feedback="x")
+        fc.expression_forecast(ready, "city", trained.regressor, trained.classifier, 1, precip_feedback="x")
+
+
+def test_the_forecast_is_one_narrow_stage(mart, trained):
+    """No checkpoint, no exchange and no Python worker between the state and the rolled arrays."""
+    ready = serving.serving_state(mart, AS_OF)
+    rolled = fc.expression_forecast(ready, "city", trained.regressor, trained.classifier, 3)
+    before, after = (df._jdf.queryExecution().sparkPlan().toString() for df in (ready, rolled))
+    for node in ("Exchange", "MapInArrow", "ArrowEvalPython", "Scan ExistingRDD"):
+        assert after.count(node) == before.count(node)
 
 
 def test_publish_replaces_the_run_day_even_with_nothing(spark, mart, trained):
@@ -129,7 +145,7 @@ def test_publish_replaces_the_run_day_even_with_nothing(spark, mart, trained):
     fc.publish(rows.where("horizon_hours = 1"), path, "2024-01-17")
     counts = spark.read.parquet(path).groupBy("run_date").agg(F.count("*").alias("n"))
     days = {str(r.run_date): r.n for r in counts.collect()}
-    assert days == {"2024-01-16": 4, "2024-01-17": 2}
+    assert days == {"2024-01-16": 6, "2024-01-17": 3}
     fc.publish(rows.limit(0), path, "2024-01-17")
     assert {str(r.run_date) for r in spark.read.parquet(path).collect()} == {"2024-01-16"}
 
@@ -141,7 +157,7 @@ def test_linear_forecast_equals_the_step_by_step_recursion(spark, mart):
     ready, _ = fc.split_by_history(serving.serving_state(mart, AS_OF))
     warm = fc.Linear({"lag_1h": 0.6, "lag_24h": 0.3, "roll_6h": 0.1, "hour": 0.01, "latitude": 0.001}, 0.2)
     wet = fc.Linear({"precip_lag_1h": 1.0, "humidity_roll_6h": -0.01}, -0.5, logistic=True)
-    rolled = fc.linear_forecast(ready, "city", warm, wet, horizon=30)
+    rolled = fc.expression_forecast(ready, "city", warm, wet, horizon=30)
     for r in rolled.collect():
         start = ready.where(F.col("city") == r.city).first()
         t, p, h = list(start.temperature), list(start.precipitation), list(start.humidity)
@@ -160,12 +176,12 @@ def test_linear_forecast_equals_the_step_by_step_recursion(spark, mart):
 def test_cross_validation(spark, mart):
     rows = training.training_rows(mart)
     columns = ft.PRODUCTION.columns()
-    models = [c for c in experiment.candidates(iterations=2) if c.name != "boosted_full"]
+    models = experiment.candidates(iterations=30)
     done = experiment.cross_validate(rows, columns, models=models)
-    assert done.fold_metrics.count() == 15
+    assert done.fold_metrics.count() == 20
     board = done.results().collect()
     assert board[0].model == "linear_regression" and board[0].rmse < 1
-    ranked = experiment.importances(spark, done.last_models["forest"], columns).collect()
+    ranked = experiment.importances(spark, done.last_models["boosted_full"]).collect()
     assert len(ranked) == 25 and sum(r.importance for r in ranked) == pytest.approx(1)
     assert ranked[0].importance == max(r.importance for r in ranked)
     record = experiment.experiment_record(done.results(), AS_OF, "boosted_sampled", "steadier")
@@ -180,40 +196,31 @@ def test_cross_validation(spark, mart):
 
 
 def test_candidate_settings():
-    by_name = {c.name: c.make() for c in experiment.candidates()}
-    sampled, full = by_name["boosted_sampled"], by_name["boosted_full"]
-    assert (sampled.getMaxIter(), sampled.getStepSize(), sampled.getMaxDepth()) == (300, 0.05, 6)
-    assert (sampled.getSubsamplingRate(), sampled.getFeatureSubsetStrategy()) == (0.8, "0.8")
-    assert (sampled.getSeed(), full.getSubsamplingRate()) == (42, 1.0)
+    by_name = {c.name: c.boosted for c in experiment.candidates()}
+    assert [(s.rounds, s.rate, s.depth, s.seed) for s in by_name.values() if s] == [(300, 0.05, 6, 42)] * 3
+    sampled, large, full = (by_name[f"boosted_{n}"] for n in ("sampled", "large_leaves", "full"))
+    assert (sampled.row_share, sampled.feature_share, sampled.least_rows) == (0.8, 0.8, 1)
+    assert large.least_rows == 20 and (full.row_share, full.feature_share) == (1.0, 1.0)
+    assert by_name["linear_regression"] is None
 
 
 def test_registered_models_have_production_settings(spark, monkeypatch):
-    """300 rounds and 100 trees reach every fit of both queries; the fits themselves are left out."""
-    fitted = []
+    """300 rounds reach every fit of both queries; the fits themselves are left out."""
+    seen = []
 
     class Reached(Exception):
         pass
 
-    def board(rows, columns, target="temperature", models=None, **more):
-        fitted.extend(c.make() for c in models or experiment.candidates())
-        raise Reached
-
-    def fit(pipeline, *_):
-        fitted.append(pipeline.getStages()[-1])
-        return pipeline
-
-    def stop(*_):
+    def stop(rows, columns, fits, *_, **__):
+        seen.extend(f.settings for f in fits)
         raise Reached
 
-    monkeypatch.setattr(experiment, "cross_validate", board)
-    monkeypatch.setattr(Pipeline, "fit", fit)
-    monkeypatch.setattr(training, "metadata", stop)
+    monkeypatch.setattr(experiment, "fit_all", stop)
+    monkeypatch.setattr(training, "fit_all", stop)
     for name in ("cross_validated_models", "model_recursive_forecast"):
         with pytest.raises(Reached):
             driver.queries()[name](spark, "/root/testdata/sf0.001")
-    boosted = [m for m in fitted if hasattr(m, "getMaxIter") and hasattr(m, "getMaxDepth")]
-    assert len(fitted) == 6 and [m.getMaxIter() for m in boosted] == [300] * 4
-    assert [m.getNumTrees() for m in fitted if hasattr(m, "getNumTrees")] == [100]
+    assert len(seen) == 17 and {(s.rounds, s.rate, s.depth) for s in seen} == {(300, 0.05, 6)}
 
 
 def test_experiment_rows(spark, mart):
