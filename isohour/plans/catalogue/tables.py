@@ -37,21 +37,22 @@ seed_city(city_id, city_name, latitude, longitude, country_id) AS (
          (2, 'Barcelona', 41.3874::DOUBLE, 2.1686::DOUBLE, 1),
          (3, 'Alicante', 38.3452::DOUBLE, -0.4810::DOUBLE, 1),
          (4, 'Valladolid', 41.6523::DOUBLE, -4.7245::DOUBLE, 1))
-SELECT s.city_id, s.city_name, s.latitude, s.longitude, c.country_name,
+SELECT o.city_id, s.city_name, s.latitude, s.longitude, c.country_name,
        count(*) AS rows, max(o."timestamp") AS last_ts
-FROM obs o JOIN seed_city s ON o.city_id = s.city_id
+FROM obs o LEFT JOIN seed_city s ON o.city_id = s.city_id
 LEFT JOIN seed_country c ON s.country_id = c.country_id
 GROUP BY ALL"""
     )
 )
 def seed_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Every observed series next to its seed row; those without one are listed too."""
     per_city = (
         observations(spark, folder)
         .groupBy("city_id")
         .agg(F.count("*").alias("rows"), F.max("timestamp").alias("last_ts"))
     )
     places = seeds.cities(spark).join(seeds.countries(spark), "country_id", "left")
-    return per_city.join(places, "city_id").select(
+    return per_city.join(places, "city_id", "left").select(
         "city_id", "city_name", "latitude", "longitude", "country_name", "rows", "last_ts"
     )
 
