@@ -49,18 +49,20 @@ class Words(dict):
 
     The tokenizer drops white space and never looks across it, so a text is its words. Words of Latin
     letters and marks, where lower case and composition are plain, go straight to the merges; the
-    tokenizer as a whole takes all others.
+    tokenizer as a whole takes all others, and every text that holds the string of an added token, which
+    it finds before it lower-cases.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.byte_sign = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         vocabulary = self.tokenizer.get_vocab()
         ends = [i for token, i in vocabulary.items() if (bare := token.removesuffix("</w>")) and SENTENCE_END.issuperset(bare)]
         self.sentence_end = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -83,8 +85,13 @@ class Words(dict):
         found = self.pieces[piece] = ids_as_bytes([token.id for token in self.merges.tokenize(signs)])
         return found
 
+    def ids(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return ids_as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.__getitem__, text.encode().split()))
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(map(self.__getitem__, text.encode().split() if text else ())), "<u4") for text in texts]
+        return [np.frombuffer(self.ids(text or ""), "<u4") for text in texts]
 
 
 def ids_as_bytes(ids: list[int]) -> bytes:
