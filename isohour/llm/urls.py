@@ -3,7 +3,8 @@
 Rules of the form ``host suffix/path prefix`` decide the addresses they fit; the longest wins. The
 addresses that a rule decides are the labelled ones: the trees are trained on them and judge the
 rest. Features: lengths, depth, digit ratio, entropy, parameters, and smoothed block rates of host
-suffixes among labelled addresses.
+suffixes among labelled addresses. A labelled address takes the rates of the other folds only (folds are
+cut by the address), so that no label is part of its own features.
 
 Defined results: a null address, or one without ``://``, has an empty host and path. Without
 labelled addresses of both verdicts there is nothing to learn and the only verdict seen (allow if
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from isohour.llm.common import fixed
 
 ALLOW, BLOCK = "allow", "block"
+FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -100,6 +102,18 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
+def with_rates(found: DataFrame, name: str) -> DataFrame:
+    """The block rate of a suffix as ``{name}_rate``: of all labelled rows for rows without a label, of the labelled rows of the other
+    folds for those with one. Sums are per suffix and fold, a bounded number of rows a suffix."""
+    per_fold = found.where("label IS NOT NULL").groupBy(name, "fold").agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
+    folds = F.map_from_entries(F.collect_list(F.struct("fold", F.struct("bad", "n").alias("own"))))
+    sums = per_fold.groupBy(name).agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"), folds.alias("folds"))
+    own = F.when(F.col("label").isNotNull(), F.col("folds")[F.col("fold")])
+    bad = F.coalesce(F.col("bad"), F.lit(0)) - F.coalesce(own["bad"], F.lit(0))
+    n = F.coalesce(F.col("n"), F.lit(0)) - F.coalesce(own["n"], F.lit(0))
+    return found.join(sums, name, "left").withColumn(f"{name}_rate", (bad + 1) / (n + 2)).drop("bad", "n", "folds")
+
+
 def judge(
     pages: DataFrame,
     rules: list[Rule],
@@ -120,15 +134,14 @@ def judge(
     found = found.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     found = found.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     found = fixed(found.withColumns(suffixes(F.col("host"))), "urls")
-    labelled = found.where("fit IS NOT NULL").withColumn("label", (F.col("fit.verdict") == BLOCK).cast("double"))
 
     features = list(lexical(F.lit(""), F.lit(""), F.lit("")))
     scored = found.withColumns(lexical(F.col("url"), F.col("host"), F.col("path")))
+    fold = F.pmod(F.crc32(F.coalesce(F.col("url"), F.lit("")).cast("binary")), F.lit(FOLDS)).cast("int")
+    scored = scored.withColumns({"label": (F.col("fit.verdict") == BLOCK).cast("double"), "fold": fold})
     for name in suffixes(F.lit("")):
-        rates = labelled.groupBy(name).agg(((F.sum("label") + 1) / (F.count("*") + 2)).alias(f"{name}_rate"))
-        scored = scored.join(rates, name, "left").fillna(0.5, [f"{name}_rate"])
+        scored = with_rates(scored, name)
         features.append(f"{name}_rate")
-    scored = scored.withColumn("label", (F.col("fit.verdict") == BLOCK).cast("double"))
 
     by_hash = F.xxhash64("url"), F.col("page_id")
     sample = fixed(scored.where("label IS NOT NULL").orderBy(*by_hash).limit(train_rows).select(*features, "label"), "url-sample")
