@@ -93,11 +93,50 @@ def test_rules_keep_good_documents(spark):
     assert kept[1] > 0.95 * share[1] and kept.get(0, 0) < 0.3 * share[0]
 
 
+def planted_votes(seed, n, good, right, silent):
+    """Patterns of rules with known accuracies on good and bad documents, and how often each occurs."""
+    rng = np.random.default_rng(seed)
+    is_good = rng.random(n) < good
+    columns = []
+    for on_good, on_bad in right:
+        correct = rng.random(n) < np.where(is_good, on_good, on_bad)
+        columns.append(np.where(rng.random(n) < silent, 0, np.where(correct == is_good, 1, -1)))
+    return is_good, Counter(map(tuple, np.array(columns).T.tolist()))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_planted_accuracies_are_recovered(seed):
+    right = [(0.95, 0.8), (0.9, 0.7), (0.98, 0.5), (0.85, 0.85), (0.97, 0.1), (0.9, 0.6)]
+    _, patterns = planted_votes(seed, 40_000, 0.8, right, 0.2)
+    names = [f"r{k}" for k in range(len(right))]
+    weights, trace = rules.estimate(sorted(patterns.items()), names, rounds=1000, belief=0.0001)
+    assert all(b >= a - 1e-9 * abs(a) for a, b in zip(trace, trace[1:])) and len(trace) > 3
+    assert weights.good == pytest.approx(0.8, abs=0.03)
+    for name, (on_good, on_bad) in zip(names, right):
+        assert weights.right[name] == (pytest.approx(on_good, abs=0.03), pytest.approx(on_bad, abs=0.06))
+
+
+def test_posterior_is_bayes_and_one_bad_vote_can_be_outvoted(spark):
+    folder = FOLDER.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = list(rules.votes())
+    table = rules.counts(docs).withColumns(rules.votes()).join(rules.judge(docs).select("doc_id", "kept", "base_failed", "posterior"), "doc_id")
+    rows = table.where("NOT base_failed").collect()
+    patterns = Counter(tuple(r[n] for n in names) for r in rows)
+    weights, trace = rules.estimate(sorted(patterns.items()), names)
+    assert all(b >= a - 1e-9 * abs(a) for a, b in zip(trace, trace[1:]))
+    for r in rows:
+        good, bad = weights.both({n: r[n] for n in names})
+        assert r.posterior == pytest.approx(1 / (1 + np.exp(bad - good))) and r.kept == (r.posterior >= 0.5)
+    one_bad = [r.kept for r in rows if sum(r[n] == -1 for n in names) == 1]
+    assert any(one_bad) and not all(r.kept for r in rows)
+    assert rules.judge(docs.where("false")).count() == 0
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_packing_covers_every_id_once(request, which):
     docs = request.getfixturevalue(which)
     own = Tokenizer.from_file(WORD_BPE)
-    own.encode_special_tokens = True
     rows = packing.pack(docs, WORD_BPE, size=256).collect()
     sequences, pieces = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -117,6 +156,19 @@ def test_packing_covers_every_id_once(request, which):
             assert r.doc_tokens == len(ids) and r.ids_crc32 == binascii.crc32(ids[r.start : r.start + r.length].tobytes())
 
 
+def test_packing_takes_the_tokenizer_as_loaded(spark):
+    texts = ["end of page <|endoftext|> next", "a<|startoftext|>b <|ENDOFTEXT|> é\u00a0x <|endoftext|>", "<|endoftext|>", "<|endoftext |>"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = Tokenizer.from_file(WORD_BPE)
+    found = packing.pack(table.coalesce(1), WORD_BPE).collect()
+    for key, text in enumerate(texts):
+        ids = np.array([*own.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        pieces = [r for r in found if r.doc_id == key]
+        assert sum(r.length for r in pieces) == len(ids)
+        assert all(r.ids_crc32 == binascii.crc32(ids[r.start : r.start + r.length].tobytes()) for r in pieces)
+    assert packing.pack(table.where("false"), WORD_BPE).count() == 0
+
+
 def test_cuts_are_optimal():
     rng = np.random.default_rng(1)
     for _ in range(30):
@@ -246,6 +298,24 @@ def test_url_rules(spark, docs):
     assert urls.judge(table.where("false"), ruled).count() == 0
 
 
+def test_rates_leave_the_own_fold_out(spark):
+    rows = [("a", 0, 1.0), ("a", 0, 1.0), ("a", 1, 0.0), ("a", 2, None), ("b", 3, 1.0), ("c", 1, None)]
+    found = urls.with_rates(spark.createDataFrame(rows, "s string, fold int, label double"), "s").collect()
+    want = [("a", 0, 1 / 3)] * 2 + [("a", 1, 3 / 4), ("a", 2, 3 / 5), ("b", 3, 1 / 2), ("c", 1, 1 / 2)]
+    assert Counter((r.s, r.fold, round(r.s_rate, 9)) for r in found) == Counter((s, f, round(x, 9)) for s, f, x in want)
+
+
+def test_url_trees_on_rows_without_a_rule(spark):
+    """Rules hidden from the operator: hosts whose rule is known teach it, and repeated and long rows are judged each."""
+    ruled = urls.parse_rules("allow org/", "block net/")
+    given = [f"http://h{i}.{'org' if i % 2 else 'net'}/{'x' * 3 if i % 2 else 'ad/banner?id=12345&c=6789'}{i}" for i in range(400)]
+    unknown = ["http://q.io/xxx5", "http://q.io/ad/banner?id=12345&c=678917", "http://q.io/xxx5", "http://q.io/" + "y" * 100_000]
+    table = spark.createDataFrame([(i, u, "x", 1.0) for i, u in enumerate(given + unknown)], "page_id long, url string, host string, label double")
+    found = {r.page_id: r for r in urls.judge(table, ruled).collect()}
+    assert len(found) == 404 and found[400].verdict == found[402].verdict == "allow" and found[401].verdict == "block"
+    assert found[400].rule is None and found[403].path == "/" + "y" * 100_000
+
+
 def test_quality_on_held_out_rows(spark, docs):
     folder = FOLDER.replace("0.001", "0.1")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
