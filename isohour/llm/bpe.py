@@ -8,8 +8,13 @@ no piece has a pair left. Decoding joins token ids with the vocabulary and aggre
 order; it is done per distinct word as well, as the bytes of joined id lists are the joined bytes.
 
 The merge table lists, for each token, every cut into two tokens: merging by rank of the joined
-bytes is the rule of rank files. Pieces over ``LONG`` bytes contract in a loop of the same step, so that
-only their present state is held, not one state per step.
+bytes is the rule of rank files. Pieces over ``LONG`` bytes contract in a loop, so that only their present state is
+held, and by many pairs a step: all pairs of the lowest rank, in each run of overlapping ones every other from
+the left, and every pair that nothing can come before. A token may only be taken from its pair (t, next) by a merge with
+a token X to its left that ends as its left neighbours do, or in the same way on the right. Where the lowest rank of
+all such merges in the vocabulary is not below the pair's (on the left: is above), the pair will be contracted as it is,
+and so it is at once. Only a token's own last merge (that of the token encoded alone) can ever make it, which needs
+every token to encode to itself by rising ranks; this is checked, and other files contract long pieces one pair a step.
 
 Defined results: null and empty texts have no ids and decode to no bytes. Unpaired surrogates cannot
 occur in Spark's strings. Repeated rows are encoded each; extra columns are ignored.
@@ -32,6 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from isohour.llm.common import slices
 
 LONG = 256
+LONG_BYTES = 1 << 18  # long pieces that contract together
 GROUP = 50_000  # pieces of one recursive query
 REMEMBERED = 700_000  # chunks whose ids a worker keeps
 BATCH_BYTES = 4 << 20
@@ -63,6 +69,33 @@ WITH RECURSIVE state(step, w, p, np, t, nt) AS (
 SELECT w, list(t ORDER BY p) AS ids
 FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step) GROUP BY w ORDER BY w
 """
+#: The same result by many pairs a step, for rows (w, p, t, b), b the token's bytes. ``left_threats`` and
+#: ``right_threats`` hold the lowest rank of merges of a token with any token that ends, or begins, like its two present neighbours.
+MANY = """
+CREATE OR REPLACE TEMP TABLE stepped AS
+WITH near AS (
+  SELECT w, p, t, b, lag(b, 2) OVER a || lag(b) OVER a AS before, lead(t) OVER a AS nt,
+         lead(b, 2) OVER a || lead(b, 3) OVER a AS after, row_number() OVER a AS i
+  FROM pieces WINDOW a AS (PARTITION BY w ORDER BY p)
+), ranked AS (
+  SELECT n.*, m.m, m.b AS mb, lag(m.m) OVER a AS left_m, lead(m.m) OVER a AS right_m, min(m.m) OVER (PARTITION BY n.w) AS least
+  FROM near n LEFT JOIN own_merges m ON n.t = m.l AND n.nt = m.r WINDOW a AS (PARTITION BY n.w ORDER BY n.i)
+), pairs AS (
+  SELECT n.w, n.i, n.m, n.mb, n.least, n.m < coalesce(least(n.left_m, x.m), n.m + 1) AND n.m <= coalesce(least(n.right_m, y.m), n.m) AS safe
+  FROM ranked n LEFT JOIN left_threats x ON x.tail = n.before AND x.t = n.t
+  LEFT JOIN right_threats y ON y.t = n.nt AND y.head = n.after
+  WHERE n.m IS NOT NULL
+), runs AS (
+  SELECT w, i, m, mb, i - row_number() OVER (PARTITION BY w ORDER BY i) AS run FROM pairs WHERE m = least
+), picked AS ({picked})
+SELECT n.w, n.p, coalesce(k.m, n.t) AS t, coalesce(k.mb, n.b) AS b
+FROM near n LEFT JOIN picked k ON k.w = n.w AND k.i = n.i ANTI JOIN picked g ON g.w = n.w AND g.i = n.i - 1
+"""
+PICK_MANY = """
+  SELECT w, i, m, mb FROM (SELECT w, i, m, mb, row_number() OVER (PARTITION BY w, run ORDER BY i) % 2 AS odd FROM runs) WHERE odd = 1
+  UNION ALL SELECT w, i, m, mb FROM pairs WHERE safe AND m > least
+"""
+PICK_ONE = "SELECT w, min(i) AS i, min(m) AS m, arg_min(mb, i) AS mb FROM runs GROUP BY w"
 DECODE = """
 SELECT doc, string_agg(hex(bytes), '' ORDER BY pos) AS hexed
 FROM ids JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
@@ -79,12 +112,13 @@ class Bpe:
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[bytes, str, bytes]] = {}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        merges = [
+        self.merges = merges = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
             for token, rank in self.ranks.items()
             for cut in range(1, len(token))
             if token[:cut] in self.ranks and token[cut:] in self.ranks
         ]
+        self.long_step = ""
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
         left, right, merged = (pa.array(c, pa.int32()) for c in zip(*merges))
         self.load("merges", pa.table({"l": left, "r": right, "m": merged}))
@@ -108,19 +142,62 @@ class Bpe:
         after = pa.array(p + 1, mask=last), pa.array(np.roll(tokens, -1), mask=last)
         step = np.zeros(len(tokens), np.int32)
         self.load("pieces", pa.table({"step": step, "w": w, "p": p, "np": after[0], "t": tokens, "nt": after[1]}))
-        if sizes.max() <= LONG:
-            found = self.db.sql(CONTRACT).to_arrow_table()
-        else:
-            done: list[pa.Table] = []
-            while self.db.sql("SELECT count(*) FROM pieces").fetchall()[0][0]:
-                self.db.execute(f"CREATE OR REPLACE TEMP TABLE stepped AS {STEP.format(rows='pieces')}")
-                ended = "SELECT w, list(t ORDER BY p) AS ids FROM pieces WHERE w NOT IN (SELECT w FROM stepped) GROUP BY w"
-                done.append(self.db.sql(ended).to_arrow_table())
-                self.db.execute("CREATE OR REPLACE TEMP TABLE pieces AS SELECT * FROM stepped")
-            found = pa.concat_tables(done).sort_by("w")
-        ids = found.column("ids").combine_chunks()
+        ids = self.db.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
         return ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
 
+    def last_merge(self, token: bytes, rank: int) -> tuple[int, int] | None:
+        """The two tokens that make this one when it is encoded alone, if ranks rise up to its own."""
+        parts = [token[k : k + 1] for k in range(len(token))]
+        while len(parts) > 2:
+            best, k = min((self.ranks.get(parts[k] + parts[k + 1], rank), k) for k in range(len(parts) - 1))
+            if best >= rank:
+                return None
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        left, right = (self.ranks[part] for part in parts)
+        return (left, right) if max(left, right) < rank else None
+
+    def load_long(self) -> str:
+        """Tables for long pieces, and the statement of one step."""
+        found = [(self.last_merge(token, rank), rank) for token, rank in self.ranks.items() if len(token) > 1]
+        regular = all(pair for pair, _ in found)
+        merges = [(*pair, rank) for pair, rank in found] if regular else self.merges
+        tokens = {rank: token for token, rank in self.ranks.items()}
+        left: dict[tuple[bytes, int], int] = {}
+        right: dict[tuple[bytes, int], int] = {}
+        for a, b, m in merges:
+            for k in range(len(tokens[a]) - 1):
+                tail = tokens[a][k:], b
+                left[tail] = min(m, left.get(tail, m))
+            for k in range(2, len(tokens[b]) + 1):
+                head = tokens[b][:k], a
+                right[head] = min(m, right.get(head, m))
+        columns = [pa.array(c, pa.int32()) for c in zip(*merges)]
+        self.load("own_merges", pa.table([*columns, pa.array([tokens[m] for _, _, m in merges], pa.binary())], ["l", "r", "m", "b"]))
+        for name, part, threats in (("left_threats", "tail", left), ("right_threats", "head", right)):
+            texts, others = zip(*threats)
+            ranks = pa.array(threats.values(), pa.int32())
+            self.load(name, pa.table([pa.array(texts, pa.binary()), pa.array(others, pa.int32()), ranks], [part, "t", "m"]))
+        return MANY.format(picked=PICK_MANY if regular else PICK_ONE)
+
+    def contract_long(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``contract``, by many pairs a step."""
+        self.long_step = self.long_step or self.load_long()
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        left = len(raw)
+        w, p = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes), np.arange(left, dtype=np.int64)
+        self.load("pieces", pa.table({"w": w, "p": p, "t": self.byte_ids[raw], "b": pa.array([bytes([x]) for x in raw.tolist()], pa.binary())}))
+        while True:
+            self.db.execute(self.long_step)
+            now = self.db.sql("SELECT count(*) FROM stepped").fetchall()[0][0]
+            self.db.execute("DROP TABLE pieces; ALTER TABLE stepped RENAME TO pieces")
+            if now == left:
+                break
+            left = now
+        found = self.db.sql("SELECT w, t FROM pieces ORDER BY w, p").to_arrow_table()
+        counts = np.bincount(found.column("w").to_numpy(), minlength=len(pieces))
+        return found.column("t").to_numpy(), np.concatenate([[0], np.cumsum(counts)])
+
     def entries(self, flat: np.ndarray, borders: np.ndarray) -> Iterator[tuple[bytes, str, bytes]]:
         """Per list of ids: them as int32 bytes, as text, and the bytes decoded from them."""
         raw, raw_borders = self.decoded(flat, borders)
@@ -137,8 +214,16 @@ class Bpe:
             (tokens if raw in self.ranks else short if len(raw) <= LONG else long).append((piece, raw))
         ids = np.array([self.ranks[raw] for _, raw in tokens], np.int32)
         found = dict(zip([piece for piece, _ in tokens], self.entries(ids, np.arange(len(ids) + 1))))
-        for some in [short[i : i + GROUP] for i in range(0, len(short), GROUP)] + [[piece] for piece in long]:
-            found.update(zip([piece for piece, _ in some], self.entries(*self.contract([raw for _, raw in some]))))
+        groups = [(short[i : i + GROUP], self.contract) for i in range(0, len(short), GROUP)]
+        held = LONG_BYTES
+        for piece, raw in long:
+            if held + len(raw) > LONG_BYTES:
+                groups.append(([], self.contract_long))
+                held = 0
+            groups[-1][0].append((piece, raw))
+            held += len(raw)
+        for some, way in groups:
+            found.update(zip([piece for piece, _ in some], self.entries(*way([raw for _, raw in some]))))
         return found
 
     def learn(self, chunks: set[str]) -> None:

@@ -63,6 +63,40 @@ def test_bpe_equals_tiktoken(request, which):
     assert bpe.decode(bpe.encode(docs.limit(3), BYTE_BPE, public_tokenizers.PATTERN), BYTE_BPE, public_tokenizers.PATTERN).count() == 3
 
 
+def long_pieces():
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    return [
+        "".join(rng.choice(letters, 20_000)),
+        "a" * 5001,
+        "ab" * 2500 + "a",
+        "".join(rng.choice(["aa", "aaa", "ab", "ba", "b"], 3000)),
+        "é" * 700 + "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 3000))),
+        "=" * 1000,
+        *("".join(rng.choice(letters, 257 + k)) for k in range(40)),
+    ]
+
+
+@pytest.mark.parametrize("regular", [True, False])
+def test_long_pieces_equal_tiktoken(monkeypatch, regular):
+    with open(BYTE_BPE, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = long_pieces() if regular else [text[:300] for text in long_pieces()[:6]]
+    if not regular:
+        monkeypatch.setattr(bpe.Bpe, "last_merge", lambda self, token, rank: None)
+    coder = bpe.Bpe(BYTE_BPE, public_tokenizers.PATTERN)
+    found = coder.encode(texts)
+    assert [ids.tolist() for ids in found] == [own.encode_ordinary(text) for text in texts]
+    assert coder.decode(found) == [text.encode() for text in texts]
+    assert (coder.long_step == bpe.MANY.format(picked=bpe.PICK_MANY)) == regular
+
+
+def test_bpe_of_no_rows_and_a_table_with_more_columns(spark, docs, odd):
+    assert bpe.round_trip(docs.where("false"), BYTE_BPE, public_tokenizers.PATTERN).count() == 0
+    assert bpe.round_trip(odd, BYTE_BPE, public_tokenizers.PATTERN).count() == odd.count()
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_rule_counts(request, which):
     docs = request.getfixturevalue(which)
