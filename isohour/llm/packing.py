@@ -61,8 +61,7 @@ class Words(dict):
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.byte_sign = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         ends = [i for token, i in vocabulary.items() if (bare := token.removesuffix("</w>")) and SENTENCE_END.issuperset(bare)]
         self.sentence_end = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -86,7 +85,7 @@ class Words(dict):
         return found
 
     def ids(self, text: str) -> bytes:
-        if self.added and self.added.search(text):
+        if any(token in text for token in self.added):
             return ids_as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.__getitem__, text.encode().split()))
 
