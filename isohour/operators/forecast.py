@@ -10,12 +10,11 @@ from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegressionModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isohour.functions.keys import surrogate_key
 from isohour.functions.times import (
     calendar,
-    day_of,
     days_before,
     instant,
     month_key,
@@ -25,6 +24,7 @@ from isohour.functions.times import (
 from isohour.operators.features import PRODUCTION, FeatureSet, Trail
 from isohour.operators.running import tail_rows
 from isohour.session import shared_folder
+from isohour.sources import generations
 
 # Forecast length in hours, history read in days, rows kept per series, and the
 # history that fills the longest lag.
@@ -321,17 +321,21 @@ def forecast_rows(
     )
 
 
-def replace_run_day(
-    target: DataFrame, batch: DataFrame, run_day: str | Column, run_ts: str = "forecast_run_ts"
-) -> DataFrame:
-    """Drop the rows of runs made on ``run_day``, then add the batch."""
-    kept = target.where(day_of(F.col(run_ts)) != day_of(instant(run_day)))
-    return kept.unionByName(batch)
+RUN_DAY = "run_date"
 
 
 def publish(rows: DataFrame, path: str, run_day: str) -> None:
-    """Replace one run day of the forecast table, which is partitioned by ``run_date``.
+    """Replace one run day of the forecast table; no rows empty the day.
 
-    Written as the partition's own folder, so that an empty batch empties the day too.
+    Written aside and then switched, so readers of :func:`published` and a run that dies keep the
+    day's former rows.
     """
-    rows.write.mode("overwrite").parquet(f"{path}/run_date={run_day}")
+    generations.replace(rows, path, RUN_DAY, run_day)
+
+
+def published(
+    spark: SparkSession, path: str, run_days: Sequence[str] | None = None
+) -> DataFrame | None:
+    """The forecast table with its run day, all days or the given ones; None before the first run."""
+    stored = generations.read(spark, path, RUN_DAY, run_days)
+    return None if stored is None else stored.withColumn(RUN_DAY, F.col(RUN_DAY).cast("date"))

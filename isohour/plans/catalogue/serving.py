@@ -23,7 +23,7 @@ from isohour.plans.catalogue.inputs import (
     with_tables,
 )
 from isohour.plans.catalogue.registry import Register
-from isohour.session import materialise
+from isohour.session import materialise, scratch_path
 
 register = Register()
 
@@ -282,11 +282,12 @@ SELECT * FROM made m WHERE forecast_run_ts = (
     )
 )
 def forecast_publish(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs on one day and one the day before: the later run of a day replaces the earlier."""
+    """Two runs on one day and one the day before, published in turn: the later run of a day replaces
+    the earlier."""
+    path = scratch_path(spark, "forecast")
     placed = marts.with_geography(
         latest(spark, folder), cities(spark, folder), countries(spark, folder)
     ).where(F.col("city").isNotNull())
-    published: DataFrame | None = None
     for run in _RUNS:
         known = placed.where(F.col("timestamp") <= instant(run))
         ends = known.groupBy("city").agg(
@@ -301,9 +302,8 @@ def forecast_publish(spark: SparkSession, folder: str) -> DataFrame:
             }
         )
         version = version_label(instant(run), "persistence_v1")
-        rows = fc.forecast_rows(held, run, version)
-        published = rows if published is None else fc.replace_run_day(published, rows, run)
-    return published
+        fc.publish(fc.forecast_rows(held, run, version), path, run[:10])
+    return fc.published(spark, path).drop(fc.RUN_DAY)
 
 
 @register()

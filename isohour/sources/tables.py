@@ -21,6 +21,27 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _on_store(spark: SparkSession, path: str):
+    """The path and its file system, whichever store it lies on."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders and files right below ``path``, hidden ones left out."""
+    found, store = _on_store(spark, path)
+    if not store.exists(found):
+        return []
+    names = (entry.getPath().getName() for entry in store.listStatus(found))
+    return sorted(f"{path}/{name}" for name in names if not name.startswith(("_", ".")))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; one that is not there is left alone."""
+    found, store = _on_store(spark, path)
+    store.delete(found, True)
+
+
 def scan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """An explicit column list, so that the scan reads nothing else."""
     return df.select(*columns)

@@ -137,17 +137,23 @@ def test_the_forecast_is_one_narrow_stage(mart, trained):
         assert after.count(node) == before.count(node)
 
 
+def days_of(spark, path):
+    stored = fc.published(spark, path)
+    counts = stored.groupBy("run_date").agg(F.count("*").alias("n"))
+    return {str(r.run_date): r.n for r in counts.collect()}
+
+
 def test_publish_replaces_the_run_day_even_with_nothing(spark, mart, trained):
     path = scratch_path(spark, "forecast")
+    assert fc.published(spark, path) is None
     rows = serving.forecast(mart, trained, AS_OF, horizon=2).rows
     fc.publish(rows, path, "2024-01-16")
     fc.publish(rows, path, "2024-01-17")
     fc.publish(rows.where("horizon_hours = 1"), path, "2024-01-17")
-    counts = spark.read.parquet(path).groupBy("run_date").agg(F.count("*").alias("n"))
-    days = {str(r.run_date): r.n for r in counts.collect()}
-    assert days == {"2024-01-16": 6, "2024-01-17": 3}
+    assert days_of(spark, path) == {"2024-01-16": 6, "2024-01-17": 3}
+    assert fc.published(spark, path, ["2024-01-17"]).count() == 3
     fc.publish(rows.limit(0), path, "2024-01-17")
-    assert {str(r.run_date) for r in spark.read.parquet(path).collect()} == {"2024-01-16"}
+    assert days_of(spark, path) == {"2024-01-16": 6}
 
 
 def test_linear_forecast_equals_the_step_by_step_recursion(spark, mart):
