@@ -18,6 +18,7 @@ from isohour.plans.catalogue.registry import Register
 from isohour.plans.catalogue.tables import payload_documents
 from isohour.schemas import MEASURES
 from isohour.session import scratch_path
+from isohour.sources import deltas
 from isohour.sources.tables import without_folders
 from isohour.streaming import observations as live
 
@@ -68,15 +69,14 @@ SELECT city_id, "timestamp", ingestion_ts, event_id, {MEASURE_LIST} FROM latest"
     )
 )
 def stream_latest_per_hour(spark: SparkSession, folder: str) -> DataFrame:
-    """Keep-latest by state, each changed hour upserted."""
+    """Keep-latest by state, the changed hours of each micro-batch stored as a delta."""
     root = scratch_path(spark, "stream")
     rows = live.latest_per_hour(
         _timed(spark, folder), ("event_id", *MEASURES), tie_break=("event_id",)
     )
-    live.upsert_into(
-        rows, f"{root}/out", f"{root}/state", ("city_id", "timestamp"), "timestamp", "ingestion_ts"
-    ).awaitTermination()
-    return without_folders(spark.read.parquet(f"{root}/out"))
+    keys = ("city_id", "timestamp")
+    live.latest_into(rows, f"{root}/out", f"{root}/state", keys, "timestamp").awaitTermination()
+    return deltas.read(spark, f"{root}/out", keys, "timestamp", "ingestion_ts")
 
 
 @register(

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from isohour import schemas
-from isohour.functions.times import day_key, instant, month_key
+from isohour.functions.times import day_key, days_before, instant, month_key
 
 
 def read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -68,9 +68,35 @@ def folder_key(ts: Column, grain: str) -> Column:
 def in_folders(table: DataFrame, keys: Sequence[int | None]) -> DataFrame:
     """Rows of the given folders; other folders are not read. None names the folder of rows
     without a time."""
-    folder = F.col("ym") if grain_of(table) == "month" else F.col("ym") * 100 + F.col("day")
-    found = folder.isin([k for k in keys if k is not None])
-    return table.where(found | folder.isNull() if None in keys else found)
+    return table.where(_among(_folder_of(table), keys))
+
+
+def outside_folders(table: DataFrame, keys: Sequence[int | None]) -> DataFrame:
+    """Rows of all folders but the given ones, which are not read."""
+    return table.where(~_among(_folder_of(table), keys))
+
+
+def of_days(rows: DataFrame, ts: str, days: Sequence[int | None]) -> DataFrame:
+    """Rows of the given days, of rows without folders.
+
+    The span of the days is stated as well, for the file statistics.
+    """
+    found = rows.where(_among(day_key(F.col(ts)), days))
+    dated = sorted(d for d in days if d is not None)
+    if None in days or not dated:
+        return found
+    first, last = (f"{d // 10000}-{d // 100 % 100:02}-{d % 100:02}" for d in (dated[0], dated[-1]))
+    return found.where(F.col(ts) >= instant(first)).where(F.col(ts) < days_before(instant(last), -1))
+
+
+def _folder_of(table: DataFrame) -> Column:
+    return F.col("ym") if grain_of(table) == "month" else F.col("ym") * 100 + F.col("day")
+
+
+def _among(folder: Column, keys: Sequence[int | None]) -> Column:
+    """True or false, also where the folder is NULL."""
+    known = folder.isNotNull() & folder.isin([k for k in keys if k is not None])
+    return known | folder.isNull() if None in keys else known
 
 
 def laid_out(df: DataFrame, ts: str, order: Sequence[str], grain: str = "month") -> DataFrame:

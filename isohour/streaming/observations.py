@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isohour.functions.measures import mean, total
 from isohour.operators.dedup import keep_latest
-from isohour.operators.upsert import merge_latest, upsert
-from isohour.sources import payload, tables
+from isohour.operators.upsert import folders_of, merge_latest, upsert
+from isohour.sources import deltas, payload, tables
 
 LATENESS = "2 days"
 
@@ -65,7 +65,7 @@ def latest_per_hour(
 ) -> DataFrame:
     """Keep-latest per (series, hour).
 
-    With :func:`upsert_into` every hour is stored at once and corrected later; with
+    With :func:`latest_into` every hour is stored at once and corrected later; with
     :func:`append_to` an hour comes out when it is final, that is, when the watermark has passed it.
     """
     order = F.struct(latest, *(tie_break or columns))
@@ -176,6 +176,44 @@ def upsert_latest(
     return upsert(batch.sparkSession, path, rows, keys, ts, grain=grain, merge=merge)
 
 
+def latest_into(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    ts: str,
+    latest: str = "ingestion_ts",
+    compact_every: int | None = 32,
+) -> StreamingQuery:
+    """Store each micro-batch's changes as one delta folder of a keep-latest table.
+
+    ``rows`` hold one row per key and micro-batch, as :func:`latest_per_hour` emits them. A replay
+    writes its folder again, and an older row never hides a newer one, so neither changes what
+    ``deltas.read`` gives. Every ``compact_every`` batches deltas are folded into the snapshot; None
+    leaves that to a job of its own. One stream at a time may compact a table.
+    """
+    run = deltas.run_name(checkpoint)
+
+    def load(batch: DataFrame, number: int) -> None:
+        deltas.add(batch, path, run, number, ts)
+        _compact(batch.sparkSession, path, keys, ts, latest, number, compact_every)
+
+    return by_batch(rows, load, checkpoint)
+
+
+def _compact(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    ts: str,
+    latest: str,
+    number: int,
+    every: int | None,
+) -> None:
+    if every and number % every == every - 1:
+        deltas.compact(spark, path, keys, ts, latest, keep=every // 2)
+
+
 def daily_into(
     rows: DataFrame,
     observations: str,
@@ -185,21 +223,29 @@ def daily_into(
     ts: str = "timestamp",
     latest: str = "ingestion_ts",
     scale: int | None = None,
+    compact_every: int | None = 32,
 ) -> StreamingQuery:
-    """Raw rows to an observation table and its daily totals.
+    """Raw rows to a keep-latest observation table (``deltas.read``) and its daily totals.
 
-    Each micro-batch is upserted into the observations, latest row first, and the days it touched
-    are then computed anew from what is stored. So an hour that is pulled again counts once, a late
-    correction reaches its day however old it is, and a replayed batch changes nothing.
+    Each micro-batch becomes one delta of the observations, and only the (series, day) pairs it
+    holds are computed anew, from the stored rows of those days. So an hour that is pulled again
+    counts once, a late correction reaches its day however old it is, and a replayed batch changes
+    nothing. Rows without a time are stored and belong to no day.
     """
+    run, keys, day = deltas.run_name(checkpoint), (series, ts), "observation_date"
 
-    def load(batch: DataFrame, _: int) -> None:
+    def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        touched = upsert_latest(observations, batch, (series, ts), ts, latest)
-        stored = tables.read(spark, observations) if touched else None
-        if stored is not None:
-            totals = daily_totals(tables.in_folders(stored, touched), series, ts, scale)
-            upsert(spark, daily, totals, (series, "observation_date"), "observation_date", grain="day")
+        deltas.add(keep_latest(batch, keys, latest), observations, run, number, ts)
+        added = tables.read(spark, f"{observations}/delta/run={run}/batch={number}")
+        days = [] if added is None else [d for d in folders_of(added, ts, "day") if d is not None]
+        if days:
+            pairs = added.select(F.col(series).alias("_series"), F.to_date(ts).alias("_day")).distinct()
+            stored = deltas.read(spark, observations, keys, ts, latest, days)
+            same = F.col(series).eqNullSafe(F.col("_series")) & (F.to_date(ts) == F.col("_day"))
+            totals = daily_totals(stored.join(pairs, same, "left_semi"), series, ts, scale)
+            upsert(spark, daily, totals, (series, day), day, grain="month")
+        _compact(spark, observations, keys, ts, latest, number, compact_every)
 
     return by_batch(rows, load, checkpoint)
 
