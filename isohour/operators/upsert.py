@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from isohour.functions.times import instant
 from isohour.operators.dedup import keep_latest
-from isohour.session import materialise
+from isohour.session import materialise_at
 from isohour.sources import tables
 
 
@@ -75,36 +75,51 @@ def upsert(
     """Apply a batch to the Parquet table at ``path``; returns the folders written.
 
     Only the months or days the batch touches are read and rewritten; ``grain`` sets the layout
-    of a new table. The batch is written to the shared folder first, since it is read several
-    times and may itself be derived from the target. With ``keep_copy`` the merged folders are
-    written there too before the table is changed: should the run die while folders are being
-    swapped, they can be restored with ``tables.write_table(copy, path, ts, keys, "folders")``.
-    Without it that write is saved.
+    of a new table. The first run writes its batch straight to the table. Later the batch is written
+    to the shared folder first, since it is read several times and may itself be derived from the
+    target. With ``keep_copy`` the merged folders are written there too before the table is changed:
+    should the run die while folders are being swapped, they can be restored with
+    ``tables.write_table(copy, path, ts, keys, "folders")``. Without it that write is saved. Copies are
+    removed once the table is written.
+
+    A full refresh swaps folders in as well and then removes those it has no rows for, so a run that
+    dies while it writes leaves the old rows. Only where ``grain`` differs from the stored layout is
+    the old table emptied first.
 
     Rows without a time share a folder and are kept or replaced by key like others. A full refresh
     with an empty batch leaves an empty table.
 
     With ``as_of`` the audit column ``ingestion_ts`` is carried over from the target.
     """
-    batch = materialise(batch, "batch")
-    target = None if full_refresh else tables.read(spark, path)
-    if target is not None:
-        grain = tables.grain_of(target)
-    folders = folders_of(batch, ts, grain)
-    if not folders:
-        if full_refresh:
-            tables.write_table(batch, path, ts, keys, "overwrite", grain)
-        return []
+    target = tables.read(spark, path)
     if target is None:
         if as_of is not None:
             batch = carry_first_seen(batch, None, keys, as_of)
         tables.write_table(batch, path, ts, keys, "overwrite", grain)
-        return folders
-    touched = tables.without_folders(tables.in_folders(target, folders))
-    if as_of is not None:
-        batch = carry_first_seen(batch, touched, keys, as_of)
-    merged = merge(touched, batch.select(*touched.columns), keys)
-    if keep_copy:
-        merged = materialise(merged, "merged")
-    tables.write_table(merged, path, ts, keys, "folders", grain)
+        written = tables.read(spark, path)
+        return [] if written is None else folders_of(written, ts, grain)
+    batch, copy = materialise_at(batch, "batch")
+    copies = [copy]
+    if full_refresh:
+        folders = folders_of(batch, ts, grain)
+        if as_of is not None:
+            batch = carry_first_seen(batch, None, keys, as_of)
+        same = folders and tables.grain_of(target) == grain
+        tables.write_table(batch, path, ts, keys, "folders" if same else "overwrite", grain)
+        if same:
+            tables.keep_folders(spark, path, folders, grain)
+    else:
+        grain = tables.grain_of(target)
+        folders = folders_of(batch, ts, grain)
+        touched = tables.without_folders(tables.in_folders(target, folders))
+        if as_of is not None:
+            batch = carry_first_seen(batch, touched, keys, as_of)
+        if folders:
+            merged = merge(touched, batch.select(*touched.columns), keys)
+            if keep_copy:
+                merged, copy = materialise_at(merged, "merged")
+                copies.append(copy)
+            tables.write_table(merged, path, ts, keys, "folders", grain)
+    for copy in copies:
+        tables.remove(spark, copy)
     return folders

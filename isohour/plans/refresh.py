@@ -11,7 +11,7 @@ from isohour.operators import checks
 from isohour.operators.dedup import keep_latest, staged, union_sources
 from isohour.operators.marts import daily_mart, hourly_mart
 from isohour.operators.upsert import upsert
-from isohour.session import materialise
+from isohour.session import materialise_at
 from isohour.sources import payload, state, tables
 
 
@@ -54,20 +54,22 @@ def ingest(
 ) -> tuple[int, int]:
     """Load a landing folder into a raw table; returns rows loaded and documents refused.
 
+    The parsed documents are the only copy; counts and the window of the state row come from it.
     The archive load keeps every hour; the live load drops hours after ``as_of``.
     """
-    parsed = materialise(payload.parse(payload.landed(spark, landing, whole_files)), "parsed")
+    parsed, copy = materialise_at(payload.parse(payload.landed(spark, landing, whole_files)), "parsed")
     rows = payload.to_rows(parsed, as_of)
     if not archive:
         rows = payload.drop_future(rows, as_of)
-    rows = materialise(rows, "rows")
     raw = house.raw_weather_2years if archive else house.raw_weather_hourly
     tables.append_raw(rows, raw, grain=house.grain)
-    refused = materialise(payload.quarantined(parsed, as_of), "refused")
-    refused.write.mode("append").parquet(house.quarantine)
+    bad = payload.quarantined(parsed, as_of)
+    bad.write.mode("append").parquet(house.quarantine)
+    loaded, refused = rows.agg(*state.window()).first().asDict(), bad.count()
     if not archive:
-        state.record(rows, house.ingestion_state, pipeline, as_of)
-    return rows.count(), refused.count()
+        state.record_window(spark, loaded, house.ingestion_state, pipeline, as_of)
+    tables.remove(spark, copy)
+    return loaded["rows_loaded"], refused
 
 
 def until(df: DataFrame, ts: str, as_of: str) -> DataFrame:

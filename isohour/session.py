@@ -61,6 +61,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage and lets several consumers read one result. The copy is a plain table, so
     it outlives any executor.
     """
+    return materialise_at(df, label)[0]
+
+
+def materialise_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The same, with the path of the copy, for callers that remove it after use."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path

@@ -49,6 +49,8 @@ def scan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # Folder columns of a table, by how finely it is laid out.
 GRAINS = {"month": ("ym",), "day": ("ym", "day")}
+# What Spark names the folder of rows whose folder column is NULL.
+NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def grain_of(table: DataFrame) -> str:
@@ -99,6 +101,23 @@ def _among(folder: Column, keys: Sequence[int | None]) -> Column:
     return known | folder.isNull() if None in keys else known
 
 
+def keep_folders(
+    spark: SparkSession, path: str, keys: Sequence[int | None], grain: str
+) -> None:
+    """Remove the folders of a stored table that are not among ``keys``."""
+    kept = set()
+    for key in keys:
+        if key is None:
+            values: tuple[int | str, ...] = (NO_FOLDER,) * len(GRAINS[grain])
+        else:
+            values = (key,) if grain == "month" else divmod(key, 100)
+        kept.add("/".join(f"{name}={value}" for name, value in zip(GRAINS[grain], values)))
+    for month in children(spark, path):
+        for folder in [month] if grain == "month" else children(spark, month):
+            if folder.removeprefix(f"{path}/") not in kept:
+                remove(spark, folder)
+
+
 def laid_out(df: DataFrame, ts: str, order: Sequence[str], grain: str = "month") -> DataFrame:
     """Add the folder columns and arrange rows for a write: few files per folder, each sorted.
 
