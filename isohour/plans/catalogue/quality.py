@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from isohour.functions.keys import surrogate_key
-from isohour.operators import checks, profiles
+from isohour.functions.times import instant
+from isohour.operators import bitmaps, checks, profiles
 from isohour.plans.catalogue.inputs import latest, observations, table, with_tables
 from isohour.plans.catalogue.registry import Register
 from isohour.schemas import MEASURES
@@ -35,6 +36,44 @@ def duplicate_hours(spark: SparkSession, folder: str) -> DataFrame:
     return profiles.duplicate_hours(observations(spark, folder))
 
 
+_CUT = "2024-01-20"
+
+
+def _bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Bitmaps of earlier and of later rows, put together."""
+    rows = observations(spark, folder)
+    early = F.col("ingestion_ts") < instant(_CUT)
+    return bitmaps.merged(
+        bitmaps.hour_bitmaps(rows.where(early)), bitmaps.hour_bitmaps(rows.where(~early))
+    )
+
+
+@register(
+    with_tables(
+        """
+SELECT city_id, min("timestamp") AS min_ts, max("timestamp") AS max_ts, count(*) AS rows,
+       count(DISTINCT "timestamp") AS unique_hours
+FROM obs GROUP BY city_id"""
+    )
+)
+def bitmap_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    return bitmaps.coverage(_bitmaps(spark, folder))
+
+
+@register(
+    with_tables(
+        """, hours AS (
+  SELECT city_id, "timestamp", lead("timestamp") OVER (PARTITION BY city_id ORDER BY "timestamp") AS next
+  FROM (SELECT DISTINCT city_id, "timestamp" FROM obs))
+SELECT city_id, "timestamp" + INTERVAL 1 HOUR AS gap_start, next - INTERVAL 1 HOUR AS gap_end,
+       date_diff('hour', "timestamp", next) - 1 AS missing
+FROM hours WHERE next > "timestamp" + INTERVAL 1 HOUR"""
+    )
+)
+def missing_hours(spark: SparkSession, folder: str) -> DataFrame:
+    return bitmaps.missing_hours(_bitmaps(spark, folder))
+
+
 def _with_gaps(rows: DataFrame) -> DataFrame:
     """Observations with NULLs: each measure is missing on its own share of rows."""
     missing = {
