@@ -1,15 +1,15 @@
-"""Main text of web pages: structure first, then differencing against the page with the nearest URL.
+"""Main text of web pages: differencing against the page with the nearest URL, where structure does not say what is text.
 
 A page is cut into lines, one per block element, each marked by where it stands: inside an article,
 inside a main element, elsewhere, or in boilerplate (menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, reader comments). Boilerplate goes. Where a page has an article (or else a main element),
-its lines are the text. Lines of pages that mark neither are compared with a page of the same host: pages are
-sorted by host and path, each is paired with its neighbour, the lines of both are aligned by
-a longest common subsequence, and shared lines are deleted as template.
+forms, scripts, reader comments). Every page is compared with a page of the same host: pages are sorted by host and path,
+and of its two neighbours the one whose path agrees with its own the longer is the nearest (of equals the one before).
+All lines of both, boilerplate too, are aligned by a longest common subsequence, and shared lines are deleted as template.
 
-Shared lines inside an article stay: copies of an article and passages that many articles
+Boilerplate goes. Where a page has an article (or else a main element), only its lines are text. Shared lines
+inside an article stay: copies of an article and passages that many articles
 share are text, and its own mark-up says so. A pair that shares more than ``copy_share`` of its
-characters is two copies, not one template, and deletes nothing.
+characters is two copies, not one template, and deletes nothing; the other neighbour is compared instead.
 
 Sorting is by range, so a host of any size is spread over tasks; at a border between tasks a page's
 neighbour is the one on its own side.
@@ -25,11 +25,14 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
+from os.path import commonprefix
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from isohour.llm.common import fixed, slices
+from isohour.llm.common import slices
 from isohour.llm.urls import host_of, path_of
 
 TOKEN = re.compile(
@@ -54,7 +57,8 @@ MARKS = frozenset(
     "related popup modal toolbar pagination login signup search contentinfo complementary".split()
 )
 OUTER_MARKS = frozenset("header banner masthead topbar widget".split())
-OPEN, MAIN, ARTICLE = 1, 2, 3
+BOILER, OPEN, MAIN, ARTICLE = 0, 1, 2, 3
+RESULTS = 256  # rows of a result batch
 
 
 def marks(attributes: str) -> set[str]:
@@ -66,11 +70,11 @@ def marks(attributes: str) -> set[str]:
 
 
 def lines_of(page: str | None) -> list[tuple[str, int]]:
-    """The lines outside boilerplate and where each stands."""
+    """All lines and where each stands."""
     page = page or ""
     found: list[tuple[str, int]] = []
     text: list[str] = []
-    stack: list[tuple[str, int]] = []  # element, place inside it; 0 is boilerplate
+    stack: list[tuple[str, int]] = []  # element, place inside it
     place, at, size = OPEN, 0, len(page)
 
     def end_line() -> None:
@@ -83,10 +87,9 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
     while at < size:
         m = TOKEN.search(page, at)
         if m is None:
-            if place:
-                text.append(page[at:])
+            text.append(page[at:])
             break
-        if place and m.start() > at:
+        if m.start() > at:
             text.append(page[at : m.start()])
         at = m.end()
         name = (m["name"] or m["name2"] or "").lower()
@@ -97,6 +100,8 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
                 end_line()
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
+                    if place == BOILER:
+                        end_line()
                     del stack[depth:]
                     place = stack[-1][1] if stack else OPEN
                     break
@@ -114,7 +119,7 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
             said = marks(m["attributes"] or m["attributes2"] or "")
             outer = place != ARTICLE and (name == "header" or not said.isdisjoint(OUTER_MARKS))
             if name in BOILERPLATE or outer or not said.isdisjoint(MARKS):
-                inner = 0
+                inner = BOILER
             elif name == "article":
                 inner = ARTICLE
             elif name == "main" or "main" in said:
@@ -152,60 +157,65 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return found[::-1]
 
 
-def own_lines(mine: list[str], other: list[str], copy_share: float) -> list[str]:
-    """``mine`` without the lines shared in order with ``other``, unless both are copies."""
-    shared = {i for i, _ in common(mine, other)}
-    weight = sum(len(mine[i]) for i in shared)
-    if 2 * weight > copy_share * (sum(map(len, mine)) + sum(map(len, other))):
-        return mine
-    return [line for i, line in enumerate(mine) if i not in shared]
+class Page(NamedTuple):
+    page_id: int | None
+    url: str | None
+    host: str
+    path: str
+    lines: list[str]
+    places: list[int]
+
+    def template(self, neighbours: list[Page], copy_share: float) -> set[int]:
+        """Which lines the nearest neighbour by path that is no copy holds in the same order."""
+        for other in sorted(neighbours, key=lambda page: -len(commonprefix((self.path, page.path)))):
+            shared = {i for i, _ in common(self.lines, other.lines)}
+            weight = sum(len(self.lines[i]) for i in shared)
+            if 2 * weight <= copy_share * (sum(map(len, self.lines)) + sum(map(len, other.lines))):
+                return shared
+        return set()
+
+    def text(self, template: set[int]) -> str:
+        """The lines of the innermost place that has any; those of the template only inside an article."""
+        best = max(self.places, default=BOILER)
+        if best == BOILER:
+            return ""
+        lines = zip(self.lines, self.places)
+        return " ".join([line for i, (line, place) in enumerate(lines) if place == best and (place == ARTICLE or i not in template)])
+
+
+def pages_of(batches: Iterator[pa.RecordBatch], batch_bytes: int) -> Iterator[Page]:
+    for batch in slices(batches, "html", batch_bytes):
+        for page_id, url, host, path, page in zip(*batch.columns):
+            found = lines_of(page.as_py())
+            lines, places = [line for line, _ in found], [place for _, place in found]
+            yield Page(page_id.as_py(), url.as_py(), host.as_py(), path.as_py(), lines, places)
 
 
-def differenced(pages: DataFrame, copy_share: float) -> DataFrame:
-    """Pages without own structure, each without the lines it shares with its neighbour by URL path."""
+def extract(pages: DataFrame, copy_share: float = 0.6, batch_bytes: int = 8 << 20) -> DataFrame:
+    """page_id, url, text and n_chars of every page."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pair(row: dict, before: dict | None, after: dict | None) -> pa.RecordBatch:
-            near = next((x for x in (before, after) if x and x["host"] == row["host"]), None)
-            kept = own_lines(row["lines"], near["lines"], copy_share) if near else row["lines"]
-            return pa.RecordBatch.from_pydict(
-                {"page_id": pa.array([row["page_id"]], pa.int64()), "url": pa.array([row["url"]], pa.string()), "text": pa.array([" ".join(kept)], pa.string())}
-            )
-
-        before = current = None
-        for batch in batches:
-            for start in range(0, batch.num_rows, 100):
-                for row in batch.slice(start, 100).to_pylist():
-                    if current:
-                        yield pair(current, before, row)
-                    before, current = current, row
-        if current:
-            yield pair(current, before, None)
+        def made() -> Iterator[tuple[int | None, str | None, str]]:
+            before = current = None
+            for after in chain(pages_of(batches, batch_bytes), [None]):
+                if current:
+                    near = [page for page in (before, after) if page and page.host == current.host]
+                    yield current.page_id, current.url, current.text(current.template(near, copy_share))
+                before, current = current, after
+
+        results = made()
+        while some := list(islice(results, RESULTS)):
+            types = pa.int64(), pa.string(), pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], ["page_id", "url", "text"])
 
     order = "host", "path", "page_id"
-    placed = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    placed = pages.select(
+        F.col("page_id").cast("bigint").alias("page_id"),
+        F.col("url").alias("url"),
+        host_of(F.col("url")).alias("host"),
+        path_of(F.col("url")).alias("path"),
+        F.coalesce(F.col("html"), F.lit("")).alias("html"),
+    )
     sorted_pages = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    return sorted_pages.mapInArrow(rows, "page_id bigint, url string, text string")
-
-
-def extract(pages: DataFrame, copy_share: float = 0.6, batch_bytes: int = 8 << 20) -> DataFrame:
-    """page_id, url, text and n_chars of every page."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "html", batch_bytes):
-            texts: list[str | None] = []
-            lines: list[list[str] | None] = []
-            for page in batch.column(2):
-                found = lines_of(page.as_py())
-                best = max((place for _, place in found), default=ARTICLE)
-                own = [line for line, place in found if place == best]
-                texts.append(" ".join(own) if best > OPEN else None)
-                lines.append(own if best == OPEN else None)
-            columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(lines, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "lines"])
-
-    kept = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").alias("url"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    cut = fixed(kept.mapInArrow(rows, "page_id bigint, url string, text string, lines array<string>"), "page-lines")
-    clear = cut.where("lines IS NULL").select("page_id", "url", "text")
-    unclear = differenced(cut.where("lines IS NOT NULL").select("page_id", "url", "lines"), copy_share)
-    return clear.unionByName(unclear).withColumn("n_chars", F.length("text").cast("long"))
+    found = sorted_pages.mapInArrow(rows, "page_id bigint, url string, text string")
+    return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -318,6 +318,30 @@ def test_pages(spark, docs):
     assert pages.common(list("abcde"), list("xbyde")) == [(1, 1), (3, 3), (4, 4)]
 
 
+def test_every_page_is_compared_with_the_nearest(spark):
+    """Pages with an article are compared too and keep what they share; others lose what the nearest page shows
+    anywhere, its marked menu included, be it the one before or behind; a copy is passed over for the other neighbour."""
+    text = "A longer sentence that only stands here, which is page"
+    rows = [
+        (1, "http://a.org/x/1", f"<p>Home</p><p>{text} one</p>"),
+        (2, "http://a.org/x/2", f"<nav><p>Home</p></nav><article><p>{text} two</p><p>shared</p></article>"),
+        (3, "http://a.org/x/3", f"<nav><p>Home</p></nav><article><p>shared</p><p>{text} three</p></article>"),
+        (4, "http://b.org/a", f"<main><p>Start</p><p>{text} four</p></main>"),
+        (5, "http://b.org/news/1", f"<main><p>News</p><p>{text} five</p></main>"),
+        (6, "http://b.org/news/2", f"<main><p>News</p><p>{text} six</p></main>"),
+        (7, "http://c.org/1", f"<p>Top</p><p>{text} seven</p>"),
+        (8, "http://c.org/2", f"<p>Top</p><p>{text} eight</p>"),
+        (9, "http://c.org/2", f"<p>Top</p><p>{text} eight</p>"),
+        (10, "http://d.org/", "<p>out <span class='ad'>buy</span> side</p>"),
+    ]
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    texts = {r.page_id: r.text for r in found.collect()}
+    assert texts == {
+        1: f"{text} one", 2: f"{text} two shared", 3: f"shared {text} three", 4: f"Start {text} four", 5: f"{text} five", 6: f"{text} six",
+        7: f"{text} seven", 8: f"{text} eight", 9: f"Top {text} eight", 10: "out side",
+    }
+
+
 def test_url_rules(spark, docs):
     ruled = urls.parse_rules("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
     given = {
