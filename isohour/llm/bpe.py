@@ -1,11 +1,11 @@
 """Byte-level BPE in DuckDB, partition by partition.
 
 Encoding: texts fall into words with the space before them, and each distinct word is treated once
-per worker. The pattern cuts words into pieces; pieces that are tokens are looked up, the others
+per worker. The pattern cuts words into pieces, which are remembered too; pieces that are tokens are looked up, the others
 are contracted by one recursive query. Its rows are (piece, position, token); each step joins
 neighbouring tokens with the merge table and contracts every piece's leftmost pair of the lowest rank, until
 no piece has a pair left. Decoding joins token ids with the vocabulary and aggregates their bytes in
-order; it is done per distinct word as well, as the bytes of joined id lists are the joined bytes.
+order; it is done per distinct piece as well, in the contracting query, as the bytes of joined id lists are the joined bytes.
 
 The merge table lists, for each token, every cut into two tokens: merging by rank of the joined
 bytes is the rule of rank files. Pieces over ``LONG`` bytes contract in a loop, so that only their present state is
@@ -39,7 +39,7 @@ from isohour.llm.common import slices
 LONG = 256
 LONG_BYTES = 1 << 18  # long pieces that contract together
 GROUP = 50_000  # pieces of one recursive query
-REMEMBERED = 700_000  # chunks whose ids a worker keeps
+REMEMBERED = 1_600_000  # chunks and pieces whose ids a worker keeps
 BATCH_BYTES = 4 << 20
 
 #: White space as the patterns of rank files see it.
@@ -66,8 +66,8 @@ CONTRACT = f"""
 WITH RECURSIVE state(step, w, p, np, t, nt) AS (
   SELECT * FROM pieces UNION ALL {STEP.format(rows="state")}
 )
-SELECT w, list(t ORDER BY p) AS ids
-FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step) GROUP BY w ORDER BY w
+SELECT w, string_agg(shown, ',' ORDER BY p) AS shown, unhex(string_agg(hexed, '' ORDER BY p)) AS bytes
+FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step) JOIN vocabulary ON id = t GROUP BY w ORDER BY w
 """
 #: The same result by many pairs a step, for rows (w, p, t, b), b the token's bytes. ``left_threats`` and
 #: ``right_threats`` hold the lowest rank of merges of a token with any token that ends, or begins, like its two present neighbours.
@@ -97,7 +97,7 @@ PICK_MANY = """
 """
 PICK_ONE = "SELECT w, min(i) AS i, min(m) AS m, arg_min(mb, i) AS mb FROM runs GROUP BY w"
 DECODE = """
-SELECT doc, string_agg(hex(bytes), '' ORDER BY pos) AS hexed
+SELECT doc, string_agg(hexed, '' ORDER BY pos) AS hexed
 FROM ids JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 """
 
@@ -110,7 +110,11 @@ class Bpe:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, tuple[bytes, str, bytes]] = {}
+        # Of chunks and of pieces: the ids as text, and the bytes decoded from them.
+        self.shown: dict[str, str] = {}
+        self.raw: dict[str, bytes] = {}
+        self.piece_shown: dict[str, str] = {}
+        self.piece_raw: dict[str, bytes] = {}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.merges = merges = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
@@ -123,15 +127,16 @@ class Bpe:
         left, right, merged = (pa.array(c, pa.int32()) for c in zip(*merges))
         self.load("merges", pa.table({"l": left, "r": right, "m": merged}))
         ids, tokens = pa.array(self.ranks.values(), pa.int32()), pa.array(self.ranks.keys(), pa.binary())
-        self.load("vocabulary", pa.table({"id": ids, "bytes": tokens}))
+        self.load("tokens", pa.table({"id": ids, "bytes": tokens}))
+        self.db.execute("CREATE TEMP TABLE vocabulary AS SELECT id, id::VARCHAR AS shown, hex(bytes) AS hexed FROM tokens")
 
     def load(self, name: str, table: pa.Table) -> None:
         self.db.register("arriving", table)
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM arriving")
         self.db.unregister("arriving")
 
-    def contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all pieces, one after the other, and the border of each piece among them."""
+    def contract(self, pieces: list[bytes]) -> tuple[list[str], list[bytes]]:
+        """Of every piece the token ids as text, and the bytes decoded from them."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ends = np.cumsum(sizes)
         tokens = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
@@ -142,8 +147,8 @@ class Bpe:
         after = pa.array(p + 1, mask=last), pa.array(np.roll(tokens, -1), mask=last)
         step = np.zeros(len(tokens), np.int32)
         self.load("pieces", pa.table({"step": step, "w": w, "p": p, "np": after[0], "t": tokens, "nt": after[1]}))
-        ids = self.db.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
-        return ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
+        found = self.db.sql(CONTRACT).to_arrow_table()
+        return found.column("shown").to_pylist(), found.column("bytes").to_pylist()
 
     def last_merge(self, token: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens that make this one when it is encoded alone, if ranks rise up to its own."""
@@ -179,7 +184,7 @@ class Bpe:
             self.load(name, pa.table([pa.array(texts, pa.binary()), pa.array(others, pa.int32()), ranks], [part, "t", "m"]))
         return MANY.format(picked=PICK_MANY if regular else PICK_ONE)
 
-    def contract_long(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def contract_long(self, pieces: list[bytes]) -> tuple[list[str], list[bytes]]:
         """As ``contract``, by many pairs a step."""
         self.long_step = self.long_step or self.load_long()
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -196,24 +201,28 @@ class Bpe:
             left = now
         found = self.db.sql("SELECT w, t FROM pieces ORDER BY w, p").to_arrow_table()
         counts = np.bincount(found.column("w").to_numpy(), minlength=len(pieces))
-        return found.column("t").to_numpy(), np.concatenate([[0], np.cumsum(counts)])
+        return self.entries(found.column("t").to_numpy(), np.concatenate([[0], np.cumsum(counts)]))
 
-    def entries(self, flat: np.ndarray, borders: np.ndarray) -> Iterator[tuple[bytes, str, bytes]]:
-        """Per list of ids: them as int32 bytes, as text, and the bytes decoded from them."""
+    def entries(self, flat: np.ndarray, borders: np.ndarray) -> tuple[list[str], list[bytes]]:
+        """Per list of ids: them as text, and the bytes decoded from them."""
         raw, raw_borders = self.decoded(flat, borders)
-        own, texts = flat.astype(np.int32).tobytes(), list(map(str, flat.tolist()))
-        spans = zip(borders.tolist(), borders[1:].tolist(), raw_borders.tolist(), raw_borders[1:].tolist())
-        for start, end, raw_start, raw_end in spans:
-            yield own[4 * start : 4 * end], ",".join(texts[start:end]), raw[raw_start:raw_end]
+        texts, ends, raw_ends = list(map(str, flat.tolist())), borders.tolist(), raw_borders.tolist()
+        shown = [",".join(texts[start:end]) for start, end in zip(ends, ends[1:])]
+        return shown, [raw[start:end] for start, end in zip(raw_ends, raw_ends[1:])]
 
-    def entries_of(self, pieces: set[str]) -> dict[str, tuple[bytes, str, bytes]]:
-        """Entries of distinct pieces: those that are tokens by look-up, the others contracted."""
+    def learn_pieces(self, pieces: set[str]) -> None:
+        """Make pieces known: those that are tokens by look-up, the others contracted."""
         tokens, short, long = [], [], []
         for piece in pieces:
             raw = piece.encode()
             (tokens if raw in self.ranks else short if len(raw) <= LONG else long).append((piece, raw))
-        ids = np.array([self.ranks[raw] for _, raw in tokens], np.int32)
-        found = dict(zip([piece for piece, _ in tokens], self.entries(ids, np.arange(len(ids) + 1))))
+
+        def keep(some: list[tuple[str, bytes]], found: tuple[list[str], list[bytes]]) -> None:
+            names = [piece for piece, _ in some]
+            self.piece_shown.update(zip(names, found[0]))
+            self.piece_raw.update(zip(names, found[1]))
+
+        keep(tokens, self.entries(np.array([self.ranks[raw] for _, raw in tokens], np.int32), np.arange(len(tokens) + 1)))
         groups = [(short[i : i + GROUP], self.contract) for i in range(0, len(short), GROUP)]
         held = LONG_BYTES
         for piece, raw in long:
@@ -223,34 +232,48 @@ class Bpe:
             groups[-1][0].append((piece, raw))
             held += len(raw)
         for some, way in groups:
-            found.update(zip([piece for piece, _ in some], self.entries(*way([raw for _, raw in some]))))
-        return found
+            keep(some, way([raw for _, raw in some]))
 
     def learn(self, chunks: set[str]) -> None:
-        """Make ids, their text and the bytes they decode to known for these chunks."""
-        cut = {chunk: self.pattern.findall(chunk) for chunk in chunks}
-        pieces = self.entries_of({piece for parts in cut.values() for piece in parts})
-        for chunk, parts in cut.items():
-            if len(parts) == 1:
-                self.known[chunk] = pieces[parts[0]]
+        """Make the ids of these chunks and the bytes they decode to known."""
+        match, whole, cut = self.pattern.match, [], {}
+        for chunk in chunks:
+            first = match(chunk)
+            if first and first.end() == len(chunk):
+                whole.append(chunk)
             else:
-                ids, texts, raw = zip(*[pieces[piece] for piece in parts])
-                self.known[chunk] = b"".join(ids), ",".join(texts), b"".join(raw)
+                cut[chunk] = self.pattern.findall(chunk)
+        self.learn_pieces(set(whole).union(*cut.values()).difference(self.piece_shown))
+        shown, raw = self.piece_shown.__getitem__, self.piece_raw.__getitem__
+        self.shown.update(zip(whole, map(shown, whole)))
+        self.raw.update(zip(whole, map(raw, whole)))
+        for chunk, parts in cut.items():
+            self.shown[chunk] = ",".join(map(shown, parts))
+            self.raw[chunk] = b"".join(map(raw, parts))
 
-    def chunks(self, texts: Iterable[str | None]) -> list[list[tuple[bytes, str, bytes]]]:
-        """Each text as a list of chunks: their ids as int32 bytes, as text, and the bytes decoded from them."""
+    def chunks(self, texts: Iterable[str | None]) -> list[list[str]]:
+        """Each text as a list of chunks, all made known."""
         cut = [CHUNK.findall(text) if text else [] for text in texts]
-        wanted = {chunk for chunks in cut for chunk in chunks}
-        new = wanted.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = wanted
+        wanted = set().union(*cut)
+        new = wanted.difference(self.shown)
+        if len(self.shown) + len(self.piece_shown) + 2 * len(new) > REMEMBERED:  # what these texts use stays
+            self.shown, self.raw, self.piece_shown, self.piece_raw = (
+                {name: known[name] for name in wanted if name in known} for known in (self.shown, self.raw, self.piece_shown, self.piece_raw)
+            )
         self.learn(new)
-        return [list(map(self.known.__getitem__, chunks)) for chunks in cut]
+        return cut
+
+    def id_text(self, chunks: list[str]) -> str:
+        """The ids of known chunks, joined by commas."""
+        return ",".join(map(self.shown.__getitem__, chunks))
+
+    def id_bytes(self, chunks: list[str]) -> bytes:
+        """The bytes decoded from the ids of known chunks."""
+        return b"".join(map(self.raw.__getitem__, chunks))
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
-        return [np.frombuffer(b"".join([ids for ids, _, _ in chunks]), np.int32) for chunks in self.chunks(texts)]
+        return [np.array(self.id_text(chunks).split(",") if chunks else [], np.int32) for chunks in self.chunks(texts)]
 
     def decoded(self, flat: np.ndarray, borders: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of lists of ids, one after the other, and the border of each among them."""
@@ -316,9 +339,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in slices(batches, "text", BATCH_BYTES):
             n, ids, raw = [], [], []
             for chunks in coder.chunks(batch.column(1).to_pylist()):
-                n.append(sum([len(own) for own, _, _ in chunks]) // 4)
-                ids.append(hashlib.sha256(",".join([text for _, text, _ in chunks]).encode()).hexdigest())
-                raw.append(hashlib.sha256(b"".join([part for _, _, part in chunks])).hexdigest())
+                shown = coder.id_text(chunks)
+                n.append(shown.count(",") + 1 if shown else 0)
+                ids.append(hashlib.sha256(shown.encode()).hexdigest())
+                raw.append(hashlib.sha256(coder.id_bytes(chunks)).hexdigest())
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

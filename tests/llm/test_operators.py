@@ -92,6 +92,24 @@ def test_long_pieces_equal_tiktoken(monkeypatch, regular):
     assert (coder.long_step == bpe.MANY.format(picked=bpe.PICK_MANY)) == regular
 
 
+def test_full_memory_keeps_the_words_in_use(monkeypatch):
+    """Words of the present texts are not encoded anew when a worker's memory is full, and pieces met in other words never."""
+    coder, contracted = bpe.Bpe(BYTE_BPE, public_tokenizers.PATTERN), []
+    contract = coder.contract
+    monkeypatch.setattr(coder, "contract", lambda pieces: contracted.extend(pieces) or contract(pieces))
+    first, more = [" ".join(f"qzx{c}vwk" for c in letters) for letters in ("abcdefgh", "abcdefghij")]
+    want = [ids.tolist() for ids in coder.encode([first, more + "!?", "", None])]
+    assert len(contracted) == len(set(contracted))
+    coder = bpe.Bpe(BYTE_BPE, public_tokenizers.PATTERN)
+    contract = coder.contract
+    monkeypatch.setattr(coder, "contract", lambda pieces: contracted.extend(pieces) or contract(pieces))
+    monkeypatch.setattr(bpe, "REMEMBERED", 12)
+    found = coder.encode([first])
+    contracted.clear()
+    assert [ids.tolist() for ids in found + coder.encode([more + "!?", "", None])] == want
+    assert {piece.strip() for piece in contracted} <= {b"qzxivwk", b"qzxjvwk", b"!?"}
+
+
 def test_bpe_of_no_rows_and_a_table_with_more_columns(spark, docs, odd):
     assert bpe.round_trip(docs.where("false"), BYTE_BPE, public_tokenizers.PATTERN).count() == 0
     assert bpe.round_trip(odd, BYTE_BPE, public_tokenizers.PATTERN).count() == odd.count()
