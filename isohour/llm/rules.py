@@ -33,10 +33,12 @@ def without(text: Column, chars: str) -> Column:
     return F.length(F.translate(text, chars, ""))
 
 
-def counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts over the whole text of every row."""
+def counts(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """Counts over the whole text of every row; with ``whole`` also the row itself as "row"."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).select("doc_id", t.alias("text"))
+    row = ["row"] if whole else []
+    given = [F.struct(*map(F.col, docs.columns)).alias("row")] if whole else []
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *given).select("doc_id", t.alias("text"), *row)
     rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
     n = F.size("words")
@@ -52,12 +54,14 @@ def counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         F.transform(lines, lambda line: F.xxhash64(line)).alias("lines"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct_words"),
         F.when(n >= WINDOW, hashes).otherwise(F.array().cast("array<bigint>")).alias("windows"),
+        *row,
     )
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_upper", "n_marks", "n_distinct_words",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(rows).alias("n_repeat_words"),
+        *row,
     )
 
 
@@ -198,9 +202,9 @@ def estimate(
     return weights, trace
 
 
-def judge(docs: DataFrame, least_words: int = 10, repeat_percent: int = 20) -> DataFrame:
-    """Counts, base_failed, posterior and kept for every row."""
-    voted = fixed(counts(docs).withColumns(votes()), "votes")
+def judge(docs: DataFrame, least_words: int = 10, repeat_percent: int = 20, whole: bool = False) -> DataFrame:
+    """Counts, base_failed, posterior and kept for every row; with ``whole`` also the row itself as "row"."""
+    voted = fixed(counts(docs, whole=whole).withColumns(votes()), "votes")
     rules = list(votes())
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     table = voted.where(~base).groupBy(*rules).count().collect()  # bounded by the number of patterns
@@ -211,4 +215,5 @@ def judge(docs: DataFrame, least_words: int = 10, repeat_percent: int = 20) -> D
         base.alias("base_failed"),
         (~base & (posterior >= 0.5)).alias("kept"),
         posterior.alias("posterior"),
+        *(["row"] if whole else []),
     )

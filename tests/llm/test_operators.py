@@ -92,6 +92,19 @@ def test_long_pieces_equal_tiktoken(monkeypatch, regular):
     assert (coder.long_step == bpe.MANY.format(picked=bpe.PICK_MANY)) == regular
 
 
+def test_quality_rules_shuffle_no_kept_texts(spark, odd):
+    """The stage keeps the ids that the rules keep, all their rows and a missing id too, and no text of a kept row meets a join."""
+    prose = " ".join(f"word{i}" for i in range(90))
+    more = spark.createDataFrame([(4, "bad", "en"), (None, prose, "en"), (None, "bad", "en"), (77, "bad", "en")], "doc_id long, text string, lang string")
+    docs = odd.select("doc_id", "text", "lang").unionByName(more)
+    kept = {r.doc_id for r in rules.judge(docs).where("kept").collect()}
+    want = Counter(tuple(r) for r in docs.collect() if r.doc_id in kept)
+    found = corpus_pipeline.quality_rules(spark, docs, "")
+    assert Counter(map(tuple, found.collect())) == want and {4, None} <= kept and 77 not in kept
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.index("Join") > plan.index("Project")
+
+
 def test_full_memory_keeps_the_words_in_use(monkeypatch):
     """Words of the present texts are not encoded anew when a worker's memory is full, and pieces met in other words never."""
     coder, contracted = bpe.Bpe(BYTE_BPE, public_tokenizers.PATTERN), []
