@@ -22,12 +22,14 @@ tokens: zeros and an empty digest. Repeated rows are documents of their own and
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
 import re
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from operator import add
 
@@ -45,7 +47,7 @@ from isohour.llm.common import fixed, slices
 BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 4096
 REMEMBERED_BYTES = 160 << 20  # what a worker keeps, at ENTRY bytes a word and its own
-PIECE_BYTES = 24 << 20  # the same for pieces of words
+PIECE_BYTES = 96 << 20  # the same for pieces of words
 ENTRY = 360
 SEGMENT = 20_000  # words that are aligned at a time
 END = (1 << 62, 0, 0, 0)
@@ -240,6 +242,18 @@ def group_texts(stretches: list, groups: list, a: list[str], b: list[str]) -> st
     return ";".join(made)
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles meanwhile: a block makes many small lists and tuples, and none in a cycle."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 @dataclass
 class Alignment:
     """Counts of one text, the digest of its groups, and its distinct id pairs with their links."""
@@ -276,10 +290,9 @@ class Aligner:
         new = list(words.difference(self.known))
         self.held += sum(map(len, new)) + ENTRY * len(new)
         if self.held > REMEMBERED_BYTES:
-            self.known.clear()
-            self.others.clear()
-            new = list(words)
-            self.held = sum(map(len, new)) + ENTRY * len(new)
+            self.known = {word: self.known[word] for word in words if word in self.known}
+            self.others = {word: self.others[word] for word in words if word in self.others}
+            self.held = sum(map(len, words)) + ENTRY * len(words)
         for word, (ids_a, other_a), (ids_b, other_b) in zip(new, self.a.parts(new), self.b.parts(new)):
             self.known[word] = ids_a, ids_b
             if other_a is not None or other_b is not None:
@@ -334,9 +347,10 @@ class Aligner:
 
     def align_all(self, texts: list[str], keep: bool = False) -> list[Alignment]:
         """Texts of one block; their new words are encoded together."""
-        cut = [words_of(" " + text) if text else [] for text in texts]
-        self.learn({word for words in cut for word in words})
-        return [self.align(words, keep) for words in cut]
+        with uncollected():
+            cut = [words_of(" " + text) if text else [] for text in texts]
+            self.learn(set().union(*cut))
+            return [self.align(words, keep) for words in cut]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}

@@ -282,3 +282,19 @@ def test_summaries_are_bounded(monkeypatch):
 
 def test_no_rows(spark, docs):
     assert middles.digests(middles.transform(docs.limit(0))).count() == 0
+
+
+def test_full_memory_keeps_the_words_in_use(monkeypatch):
+    """Words of the present texts are not encoded anew when a worker's memory is full."""
+    worker, encoded = aligning.Aligner(BYTE_BPE, PIECES), []
+    first, more = "qzxavwk qzxbvwk ▁ x", "qzxavwk qzxcvwk"
+    want = [aligning.Aligner(BYTE_BPE, PIECES).align_all([text], True)[0].groups for text in (first, more)]
+    found = [worker.align_all([first], True)[0].groups]
+    parts = worker.a.parts
+    monkeypatch.setattr(worker.a, "parts", lambda words: encoded.extend(words) or parts(words))
+    monkeypatch.setattr(aligning, "REMEMBERED_BYTES", worker.held)
+    worker.align_all(["qzxavwk qzxbvwk"])
+    encoded.clear()
+    monkeypatch.setattr(aligning, "REMEMBERED_BYTES", 1)
+    assert found + [worker.align_all([more], True)[0].groups] == want
+    assert encoded == [" qzxcvwk"]
