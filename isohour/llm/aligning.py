@@ -13,8 +13,9 @@ indexes into it. Blocks' document counts add up to the corpus-wide ones by id pa
 list by a join, and documents are summed block by block. What is shuffled grows with the distinct pairs of blocks,
 not with tokens, and a frequent pair has one row a block.
 
-Words are encoded once per worker (a bounded number is kept) where neither tokenizer looks across the blanks between them; texts with other
-white space or control characters are encoded whole.
+Words are encoded and aligned once per worker (a bounded number is kept) where neither tokenizer looks across the blanks between them; texts
+with other white space or control characters are encoded whole. Tokens of both sides end with every word that they spell, so the
+groups and links of a text are those of its words in order. The new words of a block are aligned as one text.
 
 Defined results: null and empty texts, and texts whose tokens do not give the bytes of space + text back, have no
 tokens: zeros and an empty digest. Repeated rows are documents of their own and count each. Extra columns are ignored.
@@ -49,7 +50,7 @@ BLOCK_ROWS = 4096
 REMEMBERED_BYTES = 160 << 20  # what a worker keeps, at ENTRY bytes a word and its own
 PIECE_BYTES = 96 << 20  # the same for pieces of words
 ENTRY = 360
-SEGMENT = 20_000  # words that are aligned at a time
+SEGMENT = 20_000  # words that are aligned, or put together, at a time
 END = (1 << 62, 0, 0, 0)
 NEAR = 8
 B_BITS = 16  # an id pair as one number: A's id above B's
@@ -275,13 +276,14 @@ def spread(stretches: list[tuple[int, int, int]], which: int) -> np.ndarray:
 
 
 class Aligner:
-    """Both tokenizers, and the tokens of words met before: ids of A and B, and the tokens' bytes where not the word's."""
+    """Both tokenizers, and words met before: their groups as text, the id pairs of their links and how many tokens each side has;
+    and the tokens' bytes of both sides of words that either does not spell, which have nothing else."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = side(ByteLevel, path_a), side(Pieces, path_b)
         self.texts_a = [f"{i}|" for i in range(len(self.a.sizes))]
         self.texts_b = [str(i) for i in range(len(self.b.sizes))]
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, tuple[str, bytes, int, int]] = {}
         self.others: dict[str, tuple[bytes, bytes]] = {}
         self.held = 0
 
@@ -292,12 +294,29 @@ class Aligner:
         if self.held > REMEMBERED_BYTES:
             self.known = {word: self.known[word] for word in words if word in self.known}
             self.others = {word: self.others[word] for word in words if word in self.others}
-            self.held = sum(map(len, words)) + ENTRY * len(words)
+            self.held = sum(map(len, words)) + ENTRY * len(words) + sum(len(k[0]) + len(k[1]) for k in self.known.values())
+        spelt = []
         for word, (ids_a, other_a), (ids_b, other_b) in zip(new, self.a.parts(new), self.b.parts(new)):
-            self.known[word] = ids_a, ids_b
-            if other_a is not None or other_b is not None:
+            if other_a is None and other_b is None:
+                spelt.append((word, ids_a, ids_b))
+            else:
                 raw = word.encode()
+                self.known[word] = "", b"", 0, 0
                 self.others[word] = raw if other_a is None else other_a, raw if other_b is None else other_b
+        for at in range(0, len(spelt), SEGMENT):
+            self.learn_aligned(*zip(*spelt[at : at + SEGMENT]))
+
+    def learn_aligned(self, words: tuple[str, ...], ids_a: tuple[bytes, ...], ids_b: tuple[bytes, ...]) -> None:
+        """Align words that both sides spell, one behind the other, and remember each one's part."""
+        a, b = (np.frombuffer(b"".join(ids), np.int32) for ids in (ids_a, ids_b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) // 4 for ids in (ids_a, ids_b))
+        at, pairs, shown = self.part(a, b, (np.cumsum(n_a) - n_a).tolist())
+        word = np.repeat(np.arange(len(words)), n_a)[at]
+        ends = (8 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+        links = pairs[np.argsort(word, kind="stable")].tobytes()
+        texts = shown[1:].split(";\n")
+        self.held += len(shown) + len(links)
+        self.known.update(zip(words, zip(texts, [links[s:e] for s, e in zip([0, *ends], ends)], n_a.tolist(), n_b.tolist())))
 
     def spelt(self, words: list[str]) -> bool:
         """Whether the tokens of both sides give the words' bytes."""
@@ -307,33 +326,42 @@ class Aligner:
         want = "".join(words).encode()
         return all(b"".join(parts) == want for parts in given)
 
-    def part(self, a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, str]:
-        """Groups, the id pair of every link, and the groups as text."""
+    def part(self, a: np.ndarray, b: np.ndarray, marked: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, str]:
+        """Of every link its A token and its id pair, and the groups as text, with a line feed before the tokens ``marked``."""
         ends = [np.cumsum(s.sizes[ids]).tolist() for s, ids in ((self.a, a), (self.b, b))]
         stretches, groups, left, right = diagonals(*ends)
-        texts_a, texts_b = self.texts_a, self.texts_b
-        shown = group_texts(stretches, groups, [texts_a[i] for i in a.tolist()], [texts_b[i] for i in b.tolist()])
-        at_a, at_b = spread(stretches, 0), spread(stretches, 1)
-        pairs = (a[np.append(at_a, left).astype(np.int64)].astype(np.int64) << B_BITS) | b[np.append(at_b, right).astype(np.int64)]
-        return len(at_a) + len(groups), pairs, shown
+        shown_a, shown_b = ([texts[i] for i in ids.tolist()] for texts, ids in ((self.texts_a, a), (self.texts_b, b)))
+        for k in marked or ():
+            shown_a[k] = "\n" + shown_a[k]
+        shown = group_texts(stretches, groups, shown_a, shown_b)
+        at_a, at_b = (np.append(spread(stretches, which), rest).astype(np.int64) for which, rest in ((0, left), (1, right)))
+        return at_a, (a[at_a].astype(np.int64) << B_BITS) | b[at_b], shown
+
+    def put_together(self, words: list[str], plain: bool) -> tuple[str, np.ndarray, int, int]:
+        """Groups as text, id pairs of links and both sides' tokens of a stretch of a text; not ``plain`` if it has words that
+        only their neighbours complete to the text's bytes, and then it is encoded and aligned as a whole."""
+        if plain:
+            texts, links, n_a, n_b = zip(*map(self.known.__getitem__, words))
+            return ";".join(texts), np.frombuffer(b"".join(links), np.int64), sum(n_a), sum(n_b)
+        a, b = (np.frombuffer(b"".join([ids for ids, _ in s.parts(words)]), np.int32) for s in (self.a, self.b))
+        _, pairs, shown = self.part(a, b)
+        return shown, pairs, len(a), len(b)
 
     def align(self, words: list[str], keep: bool = False) -> Alignment:
-        """One text from its words, which must be known. The tokens of both sides end with every word, so long
-        texts are aligned some words at a time."""
+        """One text from its words, which must be known, some words at a time."""
         made = Alignment()
         if not words or not self.spelt(words):
             return made
+        plain = self.others.keys().isdisjoint(words)
         digest, kept, pairs, times = hashlib.sha256(), [], [], []
         for at in range(0, len(words), SEGMENT):
-            known = list(map(self.known.__getitem__, words[at : at + SEGMENT]))
-            a, b = (np.frombuffer(b"".join([ids[which] for ids in known]), np.int32) for which in (0, 1))
-            n_groups, met, shown = self.part(a, b)
+            shown, met, n_a, n_b = self.put_together(words[at : at + SEGMENT], plain)
             digest.update((";" + shown if at else shown).encode())
             if keep:
                 kept.append(shown)
-            made.n_a += len(a)
-            made.n_b += len(b)
-            made.n_groups += n_groups
+            made.n_a += n_a
+            made.n_b += n_b
+            made.n_groups += shown.count("|")
             made.n_links += len(met)
             for column, values in zip((pairs, times), np.unique(met, return_counts=True)):
                 column.append(values)

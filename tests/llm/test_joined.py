@@ -298,3 +298,26 @@ def test_full_memory_keeps_the_words_in_use(monkeypatch):
     monkeypatch.setattr(aligning, "REMEMBERED_BYTES", 1)
     assert found + [worker.align_all([more], True)[0].groups] == want
     assert encoded == [" qzxcvwk"]
+
+
+def test_a_word_is_aligned_once(monkeypatch):
+    """Texts of known words are put together without going over their tokens again."""
+    worker, seen, diagonals = aligning.Aligner(BYTE_BPE, PIECES), [], aligning.diagonals
+    texts = ["qzxavwk qzxbvwk don't antidisestablishmentarianism", "qzxbvwk antidisestablishmentarianism qzxbvwk\nqzxavwk"]
+    want = aligned(texts)
+    worker.align_all(texts[:1])
+    monkeypatch.setattr(aligning, "diagonals", lambda a, b: seen.append(a[-1]) or diagonals(a, b))
+    found = worker.align_all(texts[1:] + ["qzxbvwk " * 5000 + "qzxavwk"])
+    assert seen == [len(" qzxbvwk\nqzxavwk")]
+    assert [(m.n_a, m.n_b, m.n_groups, m.n_links, m.digest) for m in found[:1]] == [want[1][:5]]
+
+
+def test_words_that_only_their_neighbours_complete():
+    """Such a text is encoded and aligned as a whole."""
+    worker = aligning.Aligner(BYTE_BPE, PIECES)
+    want = worker.align_all(["qzxavwk qzxbvwk"], True)[0]
+    worker.known[" qzxavwk"], worker.known[" qzxbvwk"] = [("", b"", 0, 0)] * 2
+    worker.others[" qzxavwk"], worker.others[" qzxbvwk"] = (b" qzxavwk ", b" qzxavwk"), (b"qzxbvwk", b" qzxbvwk")
+    found = worker.align([" qzxavwk", " qzxbvwk"], True)
+    assert found.groups == want.groups and found.n_a == want.n_a and found.n_links == want.n_links
+    assert found.pairs.tolist() == want.pairs.tolist()
