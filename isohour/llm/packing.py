@@ -30,13 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from isohour.llm.common import slices
+from isohour.llm.common import kept, slices
 
 SENTENCE_END = frozenset(".!?…")
 LAST_LATIN = "\u024f"
 #: The tokenizer's own cut of a word into pieces.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-REMEMBERED = 600_000  # words whose ids a worker keeps
+REMEMBERED_BYTES = 150 << 20  # what a worker keeps of words and their pieces, at ENTRY bytes each and their own
+ENTRY = 140
 BATCH_BYTES = 4 << 20
 SHAPE = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -58,6 +59,7 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
+        self.held = 0
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.byte_sign = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
@@ -73,15 +75,23 @@ class Words(dict):
             found = ids_as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         else:
             found = b"".join([self.pieces.get(p) or self.piece(p) for p in PIECE.findall(text.lower())])
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self.pieces.clear()
+        self.keep(len(word) + len(found))
         self[word] = found
         return found
 
+    def keep(self, size: int) -> None:
+        """Make room for one more entry; when too much is held, all goes."""
+        self.held += size + ENTRY
+        if self.held > REMEMBERED_BYTES:
+            self.clear()
+            self.pieces.clear()
+            self.held = size + ENTRY
+
     def piece(self, piece: str) -> bytes:
         signs = piece if piece.isascii() and piece.isprintable() else "".join([self.byte_sign[b] for b in piece.encode()])
-        found = self.pieces[piece] = ids_as_bytes([token.id for token in self.merges.tokenize(signs)])
+        found = ids_as_bytes([token.id for token in self.merges.tokenize(signs)])
+        self.keep(len(piece) + len(found))
+        self.pieces[piece] = found
         return found
 
     def ids(self, text: str) -> bytes:
@@ -97,13 +107,8 @@ def ids_as_bytes(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-_loaded: dict[str, Words] = {}
-
-
 def words_of(path: str) -> Words:
-    if path not in _loaded:
-        _loaded[path] = Words(path)
-    return _loaded[path]
+    return kept(("packing", path), lambda: Words(path))
 
 
 def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int, sentence: float, inside: float) -> tuple[np.ndarray, np.ndarray]:

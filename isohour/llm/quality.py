@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isohour.llm.common import fixed
+from isohour.llm.common import fixed, forget
 
 SYMBOLS = b"#*$%&|<>"
 STATISTICS = (
@@ -63,6 +63,7 @@ def document_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """doc_id and one array of statistics per row; reads every text whole, batch by batch."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             made = [statistics(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.float64()))], ["doc_id", "stats"])

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from isohour.llm import bpe, packing, pages, passages, quality, quotes, rules, setsketch, urls, vectors
+from isohour.llm import bpe, common, packing, pages, passages, quality, quotes, rules, setsketch, shingles, urls, vectors
 
 FOLDER = "/root/testdata/sf0.001"
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -441,3 +441,20 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, docs, odd):
 def test_every_operator_is_registered():
     names = [name for name in driver.queries() if re.match(r"op\d+_", name)]
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and "pipeline" in driver.queries()
+
+
+def test_workers_keep_one_operators_words_of_bounded_bytes(monkeypatch):
+    """A worker outlives its stage: the words of another operator go, and long words count by their bytes."""
+    path = corpus_pipeline.public_tokenizers.path(corpus_pipeline.WORD_BPE)
+    texts = [" ".join(f"{c * 3000}{k}" for k in range(4)) for c in "abcdef"]
+    want = [packing.Words(path).ids(t) for t in texts]
+    sets = [shingles.shingles(t).tolist() for t in texts]
+    common.forget()
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 20_000)
+    monkeypatch.setattr(shingles, "REMEMBERED_BYTES", 7_000)
+    words = packing.words_of(path)
+    assert [words.ids(t) for t in texts] == want and words is packing.words_of(path)
+    assert sum(map(len, words)) + sum(map(len, words.pieces)) <= 20_000
+    assert [shingles.shingles(t).tolist() for t in texts] == sets
+    assert list(common._kept) == ["word hashes"]
+    assert sum(map(len, common.kept("word hashes", shingles.WordHashes))) <= 7_000
