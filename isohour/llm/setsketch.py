@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isohour.llm.common import fixed, slices
+from isohour.llm.common import Copy, fixed, passing, slices
 from isohour.llm.components import components
 from isohour.llm.shingles import shingles
 from isohour.llm.vectors import forest
@@ -108,7 +108,7 @@ def similar(common: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int)
     return 100 * common >= percent * (n_a + n_b - common)
 
 
-def confirmed(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+def confirmed(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int, width: int, held: Copy) -> DataFrame:
     """Those pairs (a, b) whose full sets are similar enough."""
     left = known.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
     right = known.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
@@ -132,7 +132,7 @@ def confirmed(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int
                 keep.append(bool(similar(n, len(own), len(last_set), percent)))
             yield frame.loc[keep, ["a", "b"]]
 
-    wanted = fixed(sized.mapInPandas(plausible, "a bigint, b bigint"), "plausible-pairs")
+    wanted = held(sized.mapInPandas(plausible, "a bigint, b bigint"), "plausible-pairs")
     text = texts.select("id", "text")
     both = wanted.join(text.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
     both = both.join(text.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
@@ -155,7 +155,7 @@ def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def unmet(clusters: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+def unmet(clusters: DataFrame, texts: DataFrame, percent: int, width: int, held: Copy) -> DataFrame:
     """Links (a, b) between members (hub, id, component, minor) of one hub that differ in component.
 
     Only members whose component is not the hub's (minor) have anybody left to meet.
@@ -177,7 +177,7 @@ def unmet(clusters: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
         return pd.DataFrame([made], columns=["hub", "minor", "tile", "ids", "components", "sizes", "hashes"])
 
     kinds = "hub bigint, minor boolean, tile int, ids binary, components binary, sizes binary, hashes binary"
-    tiles = fixed(placed.groupBy("hub", "minor", "tile").applyInPandas(packed, kinds), "set-tiles")
+    tiles = held(placed.groupBy("hub", "minor", "tile").applyInPandas(packed, kinds), "set-tiles")
     x = tiles.where("minor").select("hub", *[F.col(c).alias(f"x_{c}") for c in ("tile", "ids", "components", "sizes", "hashes")])
     y = tiles.select("hub", "minor", *[F.col(c).alias(f"y_{c}") for c in ("tile", "ids", "components", "sizes", "hashes")])
     meets = ~F.col("minor") | (F.col("x_tile") <= F.col("y_tile"))
@@ -206,31 +206,36 @@ def band_keys(registers: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(k), F.substring(registers, 1 + k * size, size)) for k in range(BANDS)])
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every document."""
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sketched = fixed(sketch_table(rows, width), "sketches")
-    classes = sketched.where("digest IS NOT NULL").groupBy("digest", "n", "registers").agg(F.min("doc_id").alias("id"))
-    known = fixed(classes, "set-classes")
-
+def linked(rows: DataFrame, known: DataFrame, percent: int, width: int, held: Copy) -> DataFrame:
+    """(id, component) of the classes that are linked. ``held`` copies what is read again."""
     bands = known.where("id IS NOT NULL").select("id", F.explode(band_keys(F.col("registers"))).alias("bucket"))
     full = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = fixed(bands.join(full, "bucket"), "bucket-members")
+    members = held(bands.join(full, "bucket"), "bucket-members")
     central = members.groupBy("id").agg(F.sum("size").alias("met"))
     ranked = members.join(central, "id")
     hubs = ranked.groupBy("bucket").agg(F.max(F.struct("met", -F.col("id"))).alias("top")).select("bucket", (-F.col("top.col2")).alias("hub"))
-    spokes = fixed(members.join(hubs, "bucket").where("id <> hub").select("id", "hub").distinct(), "spokes")
-    texts = fixed(rows.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "member-texts")
+    spokes = held(members.join(hubs, "bucket").where("id <> hub").select("id", "hub").distinct(), "spokes")
+    texts = held(rows.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "member-texts")
 
-    direct = fixed(confirmed(spokes.select(F.col("id").alias("a"), F.col("hub").alias("b")), known, texts, percent, width), "links")
-    first = fixed(components(direct), "first-components")
+    direct = held(confirmed(spokes.select(F.col("id").alias("a"), F.col("hub").alias("b")), known, texts, percent, width, held), "links")
+    first = held(components(direct), "first-components")
     of_hub = first.select(F.col("id").alias("hub"), F.col("component").alias("hub_component"))
     sizes = known.select("id", "n")
     clusters = spokes.join(first, "id", "left").join(of_hub, "hub", "left").join(sizes, "id")
     own = F.coalesce("component", "id")
     clusters = clusters.select("hub", "id", "n", own.alias("component"), (own != F.coalesce("hub_component", "hub")).alias("minor"))
-    late = fixed(unmet(fixed(clusters, "clusters"), texts, percent, width), "late-links")
-    final = components(direct.unionByName(late))
+    late = held(unmet(held(clusters, "clusters"), texts, percent, width, held), "late-links")
+    return components(direct.unionByName(late))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every document."""
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    sketched = fixed(sketch_table(rows, width), "sketches")
+    classes = sketched.where("digest IS NOT NULL").groupBy("digest", "n", "registers").agg(F.min("doc_id").alias("id"))
+    known = fixed(classes, "set-classes")
+    with passing(docs.sparkSession) as held:
+        final = linked(rows, known, percent, width, held)
 
     of_class = known.select("digest", "id").join(final, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     component = F.coalesce("component", "doc_id")
